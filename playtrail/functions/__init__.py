@@ -1,5 +1,5 @@
 from playtrail.functions.keys import exact_row_key, row_key
-from playtrail.functions.log_text import browse_fields, browse_line, compact_minute
+from playtrail.functions.log_text import browse_fields, browse_line
 from playtrail.functions.net import ipv4_number
 from playtrail.functions.time_parts import (
     GRAINS,
@@ -17,7 +17,6 @@ __all__ = [
     "browse_fields",
     "browse_line",
     "bucket",
-    "compact_minute",
     "compact_timestamp",
     "day_of",
     "exact_row_key",

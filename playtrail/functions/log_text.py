@@ -11,25 +11,27 @@ _BRACKETED_TIME = r"^(?:[^\[]*\[)?(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}).*\]"
 _WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 
 
-def compact_minute(iso_time: Column) -> Column:
-    """`yyyy-MM-dd HH:mm:ss` text as `yyyyMMddHHmm`."""
-    return F.translate(F.substring(iso_time, 1, 16), "- :", "")
-
-
 def browse_fields(fields: Column) -> dict[str, Column]:
     """Typed columns of a split line. A part that is missing or unreadable is null, never an error."""
-    time_text = F.regexp_extract(F.get(fields, F.lit(1)), _BRACKETED_TIME, 1)
-    event_time = time_text.try_cast("timestamp")
+    event_time = F.regexp_extract(F.get(fields, F.lit(1)), _BRACKETED_TIME, 1).try_cast("timestamp")
+    device = F.get(fields, F.lit(2))
+    parts = F.split(device, ",")
+    model = F.get(parts, F.lit(1))
     # Empty parts at the end don't count as parts: `(a,` has no phone model, `(a,,b)` an empty one.
-    device = F.split(F.rtrim(F.get(fields, F.lit(2)), F.lit(",")), ",")
-    game_id = F.get(fields, F.lit(4))
+    phone_model = F.when(model != "", F.replace(model, F.lit(")"))).when(
+        F.contains(F.rtrim(device, F.lit(",")), F.lit(",")), ""
+    )
+    digits = F.get(fields, F.lit(4))
+    number = digits.try_cast("int")
+    # A cast also takes blanks around a number; only numbers in unusual form need the pattern.
+    game_id = F.when(number.cast("string") == digits, number).when(digits.rlike(_WHOLE_NUMBER), number)
     return {
         "ip": F.get(fields, F.lit(0)),
-        "date": F.when(event_time.isNotNull(), compact_minute(time_text)),
-        "androidVersion": F.translate(F.get(device, F.lit(0)), "(", ""),
-        "phoneModel": F.translate(F.get(device, F.lit(1)), ")", ""),
+        "date": F.date_format(event_time, "yyyyMMddHHmm"),
+        "androidVersion": F.replace(F.get(parts, F.lit(0)), F.lit("(")),
+        "phoneModel": phone_model,
         "gameName": F.get(fields, F.lit(3)),
-        "gameId": F.when(game_id.rlike(_WHOLE_NUMBER), game_id.try_cast("int")),
+        "gameId": game_id,
         "event_time": event_time,
     }
 

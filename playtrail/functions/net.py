@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 
 def ipv4_number(ip) -> Column:
-    """Dotted IPv4 address as a bigint; null for anything else, octets above 255 included."""
-    ip = F.col(ip) if isinstance(ip, str) else ip
-    parts = F.split(ip, r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
-    number = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
-    in_range = octets[0] <= 255
-    for octet in octets[1:]:
-        in_range = in_range & (octet <= 255)
-    return F.when(ip.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$") & in_range, number)
+    """Dotted IPv4 address as a bigint; null unless it has four parts between 0 and 255."""
+    parts = F.split(F.col(ip) if isinstance(ip, str) else ip, r"\.")
+    octets = [F.get(parts, F.lit(i)).try_cast("int") for i in range(4)]
+    valid = F.size(parts) == 4
+    number = F.lit(0).cast("bigint")
+    for octet in octets:
+        valid = valid & octet.between(0, 255)
+        number = number * 256 + octet
+    return F.when(valid, number)

@@ -52,13 +52,15 @@ def compact_timestamp(time) -> Column:
     Re-punctuating and casting stays on Spark's fixed-format parser, with no formatter object and
     no exception per bad row.
     """
-    full = F.rpad(_col(time), 14, "0")
+    # `rpad` also cuts. Too short a time gets letters where digits belong, so the cast fails.
+    minute = F.rpad(_col(time), 12, "x")
+    seconds = F.rpad(F.substring(_col(time), 13, 2), 2, "0")
 
-    def part(start: int, length: int) -> Column:
-        return F.substring(full, start, length)
+    def part(start: int, length: int = 2) -> Column:
+        return F.substring(minute, start, length)
 
     iso = F.concat(
-        part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit(" "),
-        part(9, 2), F.lit(":"), part(11, 2), F.lit(":"), part(13, 2),
+        part(1, 4), F.lit("-"), part(5), F.lit("-"), part(7), F.lit(" "),
+        part(9), F.lit(":"), part(11), F.lit(":"), seconds,
     )
-    return F.when(F.length(_col(time)) >= 12, iso.try_cast("timestamp"))
+    return iso.try_cast("timestamp")

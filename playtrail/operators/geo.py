@@ -7,13 +7,14 @@ more ranges or more distinct addresses than that, however the data is spread.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrail.functions import ipv4_number
 
 # Rough size of one range in a broadcast hash table, without the city's own bytes.
 _ROW_OVERHEAD_BYTES = 96
+_NOWHERE_BUCKETS = 65536
 
 
 @dataclass(frozen=True)
@@ -76,32 +77,26 @@ def with_city(df: DataFrame, ranges: CityRanges | DataFrame, ip: str = "ip") ->
     """Add `city`; it is null where no range holds the address.
 
     A range table that was measured small is broadcast and the rows stay where they are. A larger
-    one is joined with the distinct addresses only, and the cities found are joined back by address.
-    Both joins of that way are shuffled joins, whose oversized partitions Spark splits at run time.
+    one meets the rows in a join shuffled by bucket. A bucket that holds far more rows than others,
+    such as that of one very busy address, is then split by Spark at run time.
     """
     if isinstance(ranges, DataFrame):
         ranges = measure_ranges(ranges)
-    if ranges.fits_broadcast:
-        return _resolve(df, ranges, ip, F.broadcast(ranges.pieces), "left")
-    addresses = df.select(ip).distinct().filter(ipv4_number(ip).isNotNull())
-    cities = _resolve(addresses, ranges, ip, ranges.pieces, "inner")
-    return df.join(cities, ip, "left")
-
-
-def _resolve(df: DataFrame, ranges: CityRanges, ip: str, pieces: DataFrame, how: str) -> DataFrame:
-    numbered = df.withColumn("_number", ipv4_number(ip)).withColumn(
-        "_bucket", F.shiftright("_number", ranges.bucket_bits)
+    number = ipv4_number(ip)
+    # Unreadable addresses match nothing. They get buckets below zero, spread so as not to pile up.
+    nowhere = -1 - F.pmod(F.xxhash64(ip), F.lit(_NOWHERE_BUCKETS))
+    located = df.withColumn("_number", number).withColumn(
+        "_bucket", F.coalesce(F.shiftright("_number", ranges.bucket_bits), nowhere)
     )
-    cut = pieces.select(
+    pieces = ranges.pieces.select(
         F.col("bucket").alias("_range_bucket"),
         F.col("ip_lo").alias("_ip_lo"),
         F.col("ip_hi").alias("_ip_hi"),
         "city",
     )
-    return numbered.join(cut, _in_range(), how).select(*df.columns, "city")
-
-
-def _in_range() -> Column:
-    return (F.col("_bucket") == F.col("_range_bucket")) & F.col("_number").between(
+    if ranges.fits_broadcast:
+        pieces = F.broadcast(pieces)
+    in_range = (F.col("_bucket") == F.col("_range_bucket")) & F.col("_number").between(
         F.col("_ip_lo"), F.col("_ip_hi")
     )
+    return located.join(pieces, in_range, "left").select(*df.columns, "city")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrail.functions import browse_fields
+from playtrail.operators.once import computed_once
 from playtrail.schema import BROWSE_COLUMNS, PARSED_LOG
 
 
@@ -28,7 +29,7 @@ def read_browse_log(spark: SparkSession, path: str, mode: str = "drop") -> DataF
 
     `drop` leaves bad lines out (get them with `rejected_lines`), `failfast` stops at the first one.
     """
-    parsed = parse_lines(spark.read.text(path))
+    parsed = computed_once(parse_lines(spark.read.text(path)))
     if mode == "drop":
         parsed = parsed.filter(F.col("reject_reason").isNull())
     elif mode == "failfast":
@@ -42,7 +43,7 @@ def read_browse_log(spark: SparkSession, path: str, mode: str = "drop") -> DataF
 
 def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of a raw text log that can't be read, each with its reason."""
-    bad = parse_lines(spark.read.text(path)).filter(F.col("reject_reason").isNotNull())
+    bad = computed_once(parse_lines(spark.read.text(path))).filter(F.col("reject_reason").isNotNull())
     return bad.select("line", F.col("reject_reason").alias("reason"))
 
 

@@ -7,48 +7,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.functions import compact_timestamp, day_of, hour_of, minute_of
+from playtrail.operators.once import computed_once
 
 # All values are read as text and cast afterwards, so that `"193"` and `193` are the same fee.
-_MESSAGE = "time string, user_id string, game_id string, flag string, order_id string, fee string"
+_DOWNLOAD = "time string, user_id string, game_id string"
+_PAYMENT = f"{_DOWNLOAD}, flag string, order_id string, fee string"
 
 # Flag of an order that was paid; a fixed value of the message format.
 PAID = "1"
 
+_DOWNLOAD_COLUMNS = ["time", "event_time", "user_id", "game_id"]
+_PAYMENT_COLUMNS = [*_DOWNLOAD_COLUMNS, "order_id", "paid", "fee"]
+
 
 def parse_downloads(messages: DataFrame, topic: str | None = None) -> DataFrame:
     """Downloads: time, its day, hour and minute parts, event_time, user_id, game_id."""
-    return _good(_read(messages, topic), payment=False).select(*_time_columns(), "user_id", "game_id")
+    read = computed_once(_read(messages, topic, payment=False).select(*_DOWNLOAD_COLUMNS))
+    return read.filter(_reason(payment=False).isNull()).select(*_time_columns(), "user_id", "game_id")
 
 
 def parse_payments(messages: DataFrame, topic: str | None = None) -> DataFrame:
     """Orders: as downloads, plus order_id, paid (1 or 0) and fee. A message without fee has fee 0."""
-    return _good(_read(messages, topic), payment=True).select(
+    read = computed_once(_read(messages, topic, payment=True).select(*_PAYMENT_COLUMNS))
+    return read.filter(_reason(payment=True).isNull()).select(
         *_time_columns(), "user_id", "game_id", "order_id", "paid", "fee"
     )
 
 
 def rejected_messages(messages: DataFrame, topic: str | None = None, payment: bool = False) -> DataFrame:
     """Messages that can't be counted, each with its reason."""
-    read = _read(messages, topic).withColumn("reason", _reason(payment))
-    return read.filter(F.col("reason").isNotNull()).select("topic", "value", "reason")
+    read = _read(messages, topic, payment).select("topic", "value", _reason(payment).alias("reason"))
+    return computed_once(read).filter(F.col("reason").isNotNull())
 
 
-def _read(messages: DataFrame, topic: str | None) -> DataFrame:
+def _read(messages: DataFrame, topic: str | None, payment: bool) -> DataFrame:
     if topic is not None:
         messages = messages.filter(F.col("topic") == topic)
-    message = F.from_json("value", _MESSAGE)
-    parsed = messages.select("topic", "value", message.alias("m"))
-    return parsed.select(
-        "topic",
-        "value",
+    message = F.from_json("value", _PAYMENT if payment else _DOWNLOAD)
+    columns = [
         F.substring("m.time", 1, 14).alias("time"),
         compact_timestamp("m.time").alias("event_time"),
         F.col("m.user_id").try_cast("bigint").alias("user_id"),
         F.col("m.game_id").try_cast("bigint").alias("game_id"),
-        "m.order_id",
-        F.when(F.col("m.flag") == PAID, 1).otherwise(0).cast("bigint").alias("paid"),
-        F.coalesce(F.col("m.fee"), F.lit("0")).try_cast("bigint").alias("fee"),
-    )
+    ]
+    if payment:
+        columns += [
+            "m.order_id",
+            F.when(F.col("m.flag") == PAID, 1).otherwise(0).cast("bigint").alias("paid"),
+            F.coalesce(F.col("m.fee"), F.lit("0")).try_cast("bigint").alias("fee"),
+        ]
+    return messages.select("topic", "value", message.alias("m")).select("topic", "value", *columns)
 
 
 def _reason(payment: bool) -> Column:
@@ -58,10 +66,6 @@ def _reason(payment: bool) -> Column:
     return reason.when(F.col("fee").isNull(), "unreadable fee") if payment else reason
 
 
-def _good(read: DataFrame, payment: bool) -> DataFrame:
-    return read.filter(_reason(payment).isNull())
-
-
 def _time_columns() -> list:
     return [
         "time",
