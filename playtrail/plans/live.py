@@ -20,12 +20,14 @@ from playtrail.streaming import (
 def start_live(
     messages: DataFrame, blocked: DataFrame, root: str, checkpoints: str,
     download_topic: str, payment_topic: str, grain: str = "day", pooled: bool = False,
-    late: str = "1 minute", every: str = "5 seconds", available_now: bool = False, salt: int = 1,
+    late: str = "1 minute", every: str = "5 seconds", available_now: bool = False, salt: int = 8,
+    state_partitions: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start one query per output, each with its own table below `root` and its own checkpoint.
 
     Totals are snapshots (`read_snapshot`). Sliding windows, filtered events and rejected messages are
-    appended; a window appears when events have moved on by `late`.
+    appended; a window appears when events have moved on by `late`. `state_partitions` goes to the
+    queries that shuffle nothing but sums; where a blocklist may be shuffled, the session decides.
     """
     downloads = parse_downloads(messages, download_topic)
     payments = parse_payments(messages, payment_topic)
@@ -48,5 +50,7 @@ def start_live(
     started = {}
     for start, outputs in ((keep_snapshot, snapshots), (append_rows, appended)):
         for name, rows in outputs.items():
-            started[name] = start(rows, f"{root}/{name}", f"{checkpoints}/{name}", every, available_now)
+            partitions = None if "not_blocked" in name else state_partitions
+            paths = f"{root}/{name}", f"{checkpoints}/{name}"
+            started[name] = start(rows, *paths, every, available_now, partitions)
     return started

@@ -27,7 +27,8 @@ def clean_log(spark: SparkSession, source: str, target: str, rebalance: bool = F
     ).select(*PARSED_LOG.fieldNames())
     if rebalance:
         stored = stored.hint("rebalance", "status", "year", "month")
-    stored.write.mode("overwrite").partitionBy("status", "year", "month").parquet(target)
+    writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("status", "year", "month").parquet(target)
 
 
 def write_browse_log(df: DataFrame, path: str, mode: str = "append") -> None:

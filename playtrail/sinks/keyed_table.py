@@ -7,11 +7,14 @@ from playtrail.functions import day_of
 from playtrail.operators.keyed import latest_per_key, to_cells, upsert
 from playtrail.scratch import new_folder
 
+# So many days, thirteen years, are named in a filter; updates that touch more are joined by day.
+_MAX_LISTED_DAYS = 5000
+
 
 def write_keyed_table(df: DataFrame, path: str, keys: list[str], order_by: list[str]) -> None:
     """Write the newest row per key in `day` folders, replacing the table."""
     newest = latest_per_key(df, keys, order_by).withColumn("day", day_of("date"))
-    _in_days(newest).mode("overwrite").parquet(path)
+    _in_days(newest).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def merge_keyed_table(
@@ -25,10 +28,9 @@ def merge_keyed_table(
     """
     if "date" not in keys:
         raise ValueError("days can be merged on their own only if date is part of the key")
-    updates = updates.withColumn("day", day_of("date"))
-    touched_days = updates.select("day").distinct()
-    stored = spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
-    touched = stored.join(touched_days, "day", "left_semi")
+    stored = spark.read.parquet(path)
+    updates = updates.withColumn("day", day_of("date").cast(stored.schema["day"].dataType))
+    touched = _touched_days(stored, updates)
     staged = new_folder(spark, "keyed-merge")
     merged = upsert(touched, updates.select(*stored.columns), keys, order_by)
     _in_days(merged).parquet(staged)
@@ -37,6 +39,14 @@ def merge_keyed_table(
     writer.partitionBy("day").parquet(path)
 
 
+def _touched_days(stored: DataFrame, updates: DataFrame, max_listed: int = _MAX_LISTED_DAYS) -> DataFrame:
+    days = updates.select("day").distinct()
+    listed = [row.day for row in days.limit(max_listed + 1).collect()]
+    if len(listed) > max_listed:
+        return stored.join(days, "day", "left_semi")
+    return stored.filter(F.col("day").isin(listed))  # the folders of other days are not opened
+
+
 def write_cells(df: DataFrame, path: str, columns: list[str] | None = None, files: int | None = None) -> None:
     """Write a table with unique `row_key` as cells, sorted by (row_key, qualifier) across all files.
 

@@ -6,16 +6,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 MICRO_BATCH = "5 seconds"
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def keep_snapshot(
-    totals: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False
+    totals: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep a Parquet table with the current value of every key; `read_snapshot` reads it.
 
     Batches carry absolute totals and are written in turn to two folders, as one file each, so that a
     batch is there whole or not at all. One that is repeated after a failure overwrites its own
     folder; nothing is counted twice or lost. Meant for totals per time bucket, whose keys stay few
-    however many events there are.
+    however many events there are; `state_partitions` says how many tasks share these keys.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -23,7 +26,7 @@ def keep_snapshot(
         numbered.repartition(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
-    return _start(writer, checkpoint, every, available_now)
+    return _start(totals, writer, checkpoint, every, available_now, state_partitions)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
@@ -34,14 +37,27 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_rows(
-    rows: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False
+    rows: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append rows to a Parquet table exactly once. Windows are appended when their watermark passes."""
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _start(writer, checkpoint, every, available_now)
+    return _start(rows, writer, checkpoint, every, available_now, state_partitions)
 
 
-def _start(writer, checkpoint: str, every: str, available_now: bool) -> StreamingQuery:
+def _start(
+    df: DataFrame, writer, checkpoint: str, every: str, available_now: bool, state_partitions: int | None
+) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    # A query takes its settings along when it starts, and keeps its number of state partitions in
+    # the checkpoint. The session gets its own setting back.
+    conf = df.sparkSession.conf
+    before = conf.get(_PARTITIONS)
+    conf.set(_PARTITIONS, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(_PARTITIONS, before)

@@ -37,7 +37,7 @@ def text_file(tmp_path):
 
 
 def plan_of(df) -> str:
-    """The physical plan as text, before run-time changes."""
+    """The physical plan as text; with run-time changes if `df` itself was collected before."""
     return df._jdf.queryExecution().executedPlan().toString()
 
 
