@@ -36,6 +36,7 @@ def _arguments(argv: list[str] | None = None) -> argparse.Namespace:
     live.add_argument("--grain", choices=["day", "hour", "minute"], default="day")
     live.add_argument("--pooled", action="store_true", help="add up equal hours or minutes of all days")
     live.add_argument("--late", default="1 minute", help="how late events may come for sliding windows")
+    live.add_argument("--forget", help="drop totals from the state when events have moved on by so much")
     live.add_argument("--every", default="5 seconds", help="micro-batch interval")
     live.add_argument("--state-partitions", type=int, help="tasks that share the totals")
     live.add_argument("--once", action="store_true", help="stop when everything there is has been read")
@@ -59,10 +60,15 @@ def main(argv: list[str] | None = None) -> None:
         )
     queries = start_live(
         messages, spark.read.parquet(args.blocked), args.out, args.checkpoints, args.downloads, args.payments,
-        args.grain, args.pooled, args.late, args.every, args.once, state_partitions=args.state_partitions,
+        args.grain, args.pooled, args.late, args.forget, args.every, args.once,
+        state_partitions=args.state_partitions,
     )
-    for query in queries.values():
-        query.awaitTermination()
+    while spark.streams.active:
+        spark.streams.awaitAnyTermination()  # raises if a query has failed
+        spark.streams.resetTerminated()
+    failed = [name for name, query in queries.items() if query.exception()]
+    if failed:
+        raise RuntimeError(f"failed: {', '.join(failed)}")
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from playtrail.streaming import (
     append_rows,
     exclude_users,
+    keep_daily,
     keep_snapshot,
     parse_downloads,
     parse_payments,
@@ -20,24 +21,26 @@ from playtrail.streaming import (
 def start_live(
     messages: DataFrame, blocked: DataFrame, root: str, checkpoints: str,
     download_topic: str, payment_topic: str, grain: str = "day", pooled: bool = False,
-    late: str = "1 minute", every: str = "5 seconds", available_now: bool = False, salt: int = 8,
-    state_partitions: int | None = None,
+    late: str = "1 minute", forget: str | None = None, every: str = "5 seconds",
+    available_now: bool = False, salt: int = 8, state_partitions: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start one query per output, each with its own table below `root` and its own checkpoint.
 
-    Totals are snapshots (`read_snapshot`). Sliding windows, filtered events and rejected messages are
-    appended; a window appears when events have moved on by `late`. `state_partitions` goes to the
-    queries that shuffle nothing but sums; where a blocklist may be shuffled, the session decides.
+    Totals are kept for good, as snapshots (`read_snapshot`). With `forget` (such as "2 days"), buckets
+    drop out of the state when events have moved on by that much, and totals are daily tables
+    (`read_daily`). Sliding windows, filtered events and rejected messages are appended; a window
+    appears when events have moved on by `late`. `state_partitions` goes to the queries that shuffle
+    nothing but sums; where a blocklist may be shuffled, the session decides.
     """
     downloads = parse_downloads(messages, download_topic)
     payments = parse_payments(messages, payment_topic)
     open_downloads = exclude_users(downloads, blocked, salt)
     open_payments = exclude_users(payments, blocked, salt)
-    snapshots = {
-        "downloads": running_downloads(downloads, grain, pooled),
-        "payments": running_payments(payments, grain, pooled),
-        "downloads_not_blocked_totals": running_downloads(open_downloads, grain, pooled),
-        "payments_not_blocked_totals": running_payments(open_payments, grain, pooled),
+    totals = {
+        "downloads": running_downloads(downloads, grain, pooled, forget),
+        "payments": running_payments(payments, grain, pooled, forget),
+        "downloads_not_blocked_totals": running_downloads(open_downloads, grain, pooled, forget),
+        "payments_not_blocked_totals": running_payments(open_payments, grain, pooled, forget),
     }
     appended = {
         "downloads_sliding": sliding_downloads(downloads, watermark=late),
@@ -47,8 +50,9 @@ def start_live(
         "downloads_rejected": rejected_messages(messages, download_topic),
         "payments_rejected": rejected_messages(messages, payment_topic, payment=True),
     }
+    keep_totals = keep_snapshot if forget is None else keep_daily
     started = {}
-    for start, outputs in ((keep_snapshot, snapshots), (append_rows, appended)):
+    for start, outputs in ((keep_totals, totals), (append_rows, appended)):
         for name, rows in outputs.items():
             partitions = None if "not_blocked" in name else state_partitions
             paths = f"{root}/{name}", f"{checkpoints}/{name}"

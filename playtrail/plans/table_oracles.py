@@ -232,6 +232,7 @@ def table_oracles() -> dict[str, str]:
         "stat_sink_phone": STAT_PHONE,
         "stat_sink_hour": BY_HOUR,
         "batch_reports": BATCH,
+        "payments_by_minute_daily": _totals([PAYMENTS], "p", PAYMENT_SUMS, "minute"),
         "downloads_sliding": _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT),
         "payments_sliding": _sliding(PAYMENTS, "p", PAYMENT_SUMS),
         "downloads_not_blocked": DOWNLOADS_NOT_BLOCKED,

@@ -57,9 +57,11 @@ from playtrail.sources import (
 from playtrail.streaming import (
     append_rows,
     exclude_users,
+    keep_daily,
     keep_snapshot,
     parse_downloads,
     parse_payments,
+    read_daily,
     read_snapshot,
     rejected_messages,
     running_downloads,
@@ -72,6 +74,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MONTH = 1  # the month the test events fall into
 TOP_N = 10
+WHOLE_SPAN = "60 days"  # longer than the time the test events span, in whatever order they come
 TOTALS_PARTITIONS = 8  # totals are few and summed before they are shuffled
 
 
@@ -255,6 +258,12 @@ def _payments_by(grain: str, pooled: bool, spark: SparkSession, sf_dir: str) ->
     return _snapshot_of(running_payments(_payments(spark, sf_dir), grain, pooled), "payments")
 
 
+def payments_by_minute_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals behind a watermark, of which each batch writes only the days it changes."""
+    totals = running_payments(_payments(spark, sf_dir), "minute", watermark=WHOLE_SPAN)
+    return read_daily(spark, _finish(keep_daily, totals, "payments-daily", TOTALS_PARTITIONS))
+
+
 def downloads_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapshot_of(sliding_downloads(_downloads(spark, sf_dir)), "downloads-sliding")
 
@@ -328,6 +337,7 @@ def table_queries() -> dict[str, Query]:
         found[f"downloads_by_{suffix}"] = partial(_downloads_by, grain, pooled)
         found[f"payments_by_{suffix}"] = partial(_payments_by, grain, pooled)
     found |= {
+        "payments_by_minute_daily": payments_by_minute_daily,
         "downloads_sliding": downloads_sliding,
         "payments_sliding": payments_sliding,
         "downloads_not_blocked": downloads_not_blocked,

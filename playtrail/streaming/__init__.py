@@ -1,6 +1,6 @@
 from playtrail.streaming.blocklist import exclude_users
 from playtrail.streaming.events import parse_downloads, parse_payments, rejected_messages
-from playtrail.streaming.tables import append_rows, keep_snapshot, read_snapshot
+from playtrail.streaming.tables import append_rows, keep_daily, keep_snapshot, read_daily, read_snapshot
 from playtrail.streaming.totals import (
     running_downloads,
     running_payments,
@@ -11,9 +11,11 @@ from playtrail.streaming.totals import (
 __all__ = [
     "append_rows",
     "exclude_users",
+    "keep_daily",
     "keep_snapshot",
     "parse_downloads",
     "parse_payments",
+    "read_daily",
     "read_snapshot",
     "rejected_messages",
     "running_downloads",

@@ -1,8 +1,11 @@
 """Tables that streaming queries keep up to date."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, LongType, StringType, StructType
+
+from playtrail.functions import day_of
 
 MICRO_BATCH = "5 seconds"
 
@@ -36,6 +39,60 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return slots.filter(F.col("batch_id") == newest).drop("batch_id", "slot")
 
 
+def keep_daily(
+    totals: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False,
+    state_partitions: int | None = None, keys: tuple[str, ...] = ("bucket",), day: Column | None = None,
+) -> StreamingQuery:
+    """Keep a Parquet table of totals by rewriting only the days that a batch changes.
+
+    For totals with so many keys that a snapshot per batch costs too much, or whose state is dropped
+    behind a watermark. A day has two folders: a batch writes the day's rows to the one that doesn't
+    hold the newest, which stays whole until the batch is done. A repeated batch starts from the same
+    rows and picks the same folder again. `read_daily` reads the table.
+    """
+    day = day_of("bucket") if day is None else day
+    spark = totals.sparkSession
+    columns = totals.columns
+    layout = StructType(totals.schema.fields)
+    layout = layout.add("batch_id", LongType()).add("day", StringType()).add("slot", IntegerType())
+    spark.createDataFrame([], layout).write.mode("append").partitionBy("day", "slot").parquet(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changed = batch.withColumn("day", day).persist()
+        try:
+            stored = batch.sparkSession.read.schema(layout).parquet(path)
+            # As many days as the events of one batch span.
+            days = [row.day for row in changed.select("day").distinct().collect()]
+            earlier = _newest_of_day(
+                stored.filter(F.col("day").isin(days) & (F.col("batch_id") < batch_id))
+            )
+            free_slot = earlier.groupBy("day").agg((1 - F.max("slot")).alias("slot"))
+            kept = earlier.join(changed.select(*keys), list(keys), "left_anti").select(*columns, "day")
+            rows = kept.unionByName(changed).join(free_slot, "day", "left").select(
+                *columns,
+                F.lit(batch_id).cast("bigint").alias("batch_id"),
+                "day",
+                F.coalesce("slot", F.lit(0)).alias("slot"),
+            )
+            writer = rows.repartition("day").write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy("day", "slot").parquet(path)
+        finally:
+            changed.unpersist()
+
+    writer = totals.writeStream.outputMode("update").foreachBatch(write)
+    return _start(totals, writer, checkpoint, every, available_now, state_partitions)
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the newest batch of each day that `keep_daily` has written."""
+    return _newest_of_day(spark.read.parquet(path)).drop("batch_id", "day", "slot")
+
+
+def _newest_of_day(rows: DataFrame) -> DataFrame:
+    newest = F.max("batch_id").over(Window.partitionBy("day"))
+    return rows.withColumn("_newest", newest).filter(F.col("batch_id") == F.col("_newest")).drop("_newest")
+
+
 def append_rows(
     rows: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False,
     state_partitions: int | None = None,

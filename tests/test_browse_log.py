@@ -6,8 +6,8 @@ from playtrail.sinks import clean_log, write_browse_log
 from playtrail.sources import read_browse_log, read_clean_log, read_rejected_lines, rejected_lines
 from tests.conftest import plan_of, rows_of
 
-GOOD = "19.167.29.40\t[2018-03-04 21:10:16]\t(Android o,Meizu note 7)\t三国志\t104"
-GOOD_ROW = ("19.167.29.40", "201803042110", "Android o", "Meizu note 7", "三国志", 104)
+GOOD = "19.167.29.40\t[2018-03-04 21:10:16]\t(Android o,Phone note 7)\t围棋\t104"
+GOOD_ROW = ("19.167.29.40", "201803042110", "Android o", "Phone note 7", "围棋", 104)
 
 
 def parsed(spark, path):
@@ -28,13 +28,13 @@ def test_good_line(spark, text_file):
         (GOOD.replace(":16]", ":16.250]"), {}),
         (GOOD.replace("(Android", "((And(roid"), {}),
         (GOOD.replace("7)", "7))"), {}),
-        (GOOD.replace("Meizu note 7", ",x"), {"phoneModel": ""}),
-        (GOOD.replace("Meizu note 7", "Meizu, 7"), {"phoneModel": "Meizu"}),
-        (GOOD.replace("Meizu note 7", "_"), {"phoneModel": "_"}),
+        (GOOD.replace("Phone note 7", ",x"), {"phoneModel": ""}),
+        (GOOD.replace("Phone note 7", "Phone, 7"), {"phoneModel": "Phone"}),
+        (GOOD.replace("Phone note 7", "_"), {"phoneModel": "_"}),
         (GOOD.replace("104", "+104"), {}),
         (GOOD.replace("104", "-104"), {"gameId": -104}),
         (GOOD.replace("104", "0104"), {}),
-        (GOOD.replace("三国志", ""), {"gameName": ""}),
+        (GOOD.replace("围棋", ""), {"gameName": ""}),
         (GOOD.replace("19.167.29.40", ""), {"ip": ""}),
     ],
 )
@@ -51,7 +51,7 @@ BAD = [
     (GOOD.replace("[", "").replace("]", ""), "unreadable time"),
     (GOOD.replace("2018-03-04 21:10:16", "yesterday"), "unreadable time"),
     (GOOD.replace(",", ";"), "unreadable device"),
-    (GOOD.replace("Meizu note 7)", ""), "unreadable device"),
+    (GOOD.replace("Phone note 7)", ""), "unreadable device"),
     (GOOD.replace("104", "x"), "unreadable game id"),
     (GOOD.replace("104", " 104"), "unreadable game id"),
     (GOOD.replace("104", "1.0"), "unreadable game id"),

@@ -12,7 +12,7 @@ def test_batch(spark, text_file, tmp_path):
     spark.createDataFrame([(0, 2**32 - 1, "A")], "ip_lo bigint, ip_hi bigint, city string").write.parquet(ranges)
     source = text_file(GOOD, GOOD)
     main(["batch", "--source", source, "--clean", clean, "--ranges", ranges, "--month", "3", "--stat", stat])
-    assert rows_of(read_stat(spark, "by_city", stat)) == [("A", 104, "三国志", 2, 1)]
+    assert rows_of(read_stat(spark, "by_city", stat)) == [("A", 104, "围棋", 2, 1)]
 
 
 def test_live(spark, tmp_path):

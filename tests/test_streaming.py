@@ -9,9 +9,11 @@ from playtrail.sources import kafka_options, read_topic_files
 from playtrail.streaming import (
     append_rows,
     exclude_users,
+    keep_daily,
     keep_snapshot,
     parse_downloads,
     parse_payments,
+    read_daily,
     read_snapshot,
     rejected_messages,
     running_downloads,
@@ -159,6 +161,34 @@ def test_sliding_windows_hold_edges_once(spark):
     assert [tuple(r)[2:] for r in sums.collect()] == [(1, 0, 7, 0)] * 2
 
 
+def forget_last_commit(topic):
+    """As if the driver was lost after the last write and before its batch was marked as done."""
+    commits = topic.runs / "table-checkpoint" / "commits"
+    last = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    last.unlink()
+    (commits / f".{last.name}.crc").unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("watermark", [None, "2 days"])
+def test_daily_table_changes_only_the_days_of_a_batch(spark, topic, watermark):
+    def totals():
+        rows = running_downloads(parse_downloads(topic.stream()), "hour", watermark=watermark)
+        return dict(rows_of(read_daily(spark, topic.run(keep_daily, rows))))
+
+    topic.send(download("20191106093559"), download("20191107000000"))
+    assert totals() == {"2019110609": 1, "2019110700": 1}
+    untouched = sorted((topic.runs / "table" / "day=20191107").rglob("*.parquet"))
+    topic.send(download("20191106093559"), download("20191106103559"))
+    topic.send(download("20191106093559"), download("20191108000000"))
+    expected = {"2019110609": 3, "2019110610": 1, "2019110700": 1, "2019110800": 1}
+    assert totals() == expected
+    assert sorted((topic.runs / "table" / "day=20191107").rglob("*.parquet")) == untouched
+    forget_last_commit(topic)
+    assert totals() == expected
+    topic.send(download("20191106113559"))
+    assert totals() == {**expected, "2019110611": 1}
+
+
 def test_stream_totals_grow_over_batches_and_restarts(spark, topic):
     topic.send(download("20191106093559"), download("20191107000000"))
     topic.send(download("20191106093559"))  # one key again, the other without news
@@ -183,11 +213,7 @@ def test_repeated_batch_counts_once(spark, topic):
 
     expected = [("20191106", 2, 1, 15, 10)]
     assert totals() == expected
-    # As if the driver was lost after the last write and before its batch was marked as done.
-    commits = topic.runs / "table-checkpoint" / "commits"
-    last = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
-    last.unlink()
-    (commits / f".{last.name}.crc").unlink(missing_ok=True)
+    forget_last_commit(topic)
     assert totals() == expected
 
 
@@ -229,20 +255,21 @@ def test_closed_windows_are_appended_once_and_late_events_dropped(spark, topic):
     assert totals() == [("201911060935", 2), ("201911060940", 1)]
 
 
-def test_live_run_fills_every_table(spark, topic, tmp_path):
+@pytest.mark.parametrize("forget,read", [(None, read_snapshot), ("2 days", read_daily)])
+def test_live_run_fills_every_table(spark, topic, tmp_path, forget, read):
     topic.send(download("20191106093559", 1), download("20191106093559", 5), "broken", topic="down")
     topic.send(payment("20191106093559", 10, user=1), payment("20191106094559", 3, user=5), topic="pay")
     blocked = spark.createDataFrame([(1,)], "user_id bigint")
     root = str(tmp_path / "live")
     queries = start_live(
-        topic.stream(), blocked, root, str(tmp_path / "checkpoints"), "down", "pay", available_now=True
+        topic.stream(), blocked, root, str(tmp_path / "checkpoints"), "down", "pay", forget=forget, available_now=True
     )
     for query in queries.values():
         query.awaitTermination()
-    assert rows_of(read_snapshot(spark, f"{root}/downloads")) == [("20191106", 2)]
-    assert rows_of(read_snapshot(spark, f"{root}/payments")) == [("20191106", 2, 2, 13, 13)]
-    assert rows_of(read_snapshot(spark, f"{root}/downloads_not_blocked_totals")) == [("20191106", 1)]
-    assert rows_of(read_snapshot(spark, f"{root}/payments_not_blocked_totals")) == [("20191106", 1, 1, 3, 3)]
+    assert rows_of(read(spark, f"{root}/downloads")) == [("20191106", 2)]
+    assert rows_of(read(spark, f"{root}/payments")) == [("20191106", 2, 2, 13, 13)]
+    assert rows_of(read(spark, f"{root}/downloads_not_blocked_totals")) == [("20191106", 1)]
+    assert rows_of(read(spark, f"{root}/payments_not_blocked_totals")) == [("20191106", 1, 1, 3, 3)]
     assert [r.user_id for r in spark.read.parquet(f"{root}/downloads_not_blocked").collect()] == [5]
     assert [r.fee for r in spark.read.parquet(f"{root}/payments_not_blocked").collect()] == [3]
     assert [r.value for r in spark.read.parquet(f"{root}/downloads_rejected").collect()] == ["broken"]
