@@ -18,15 +18,18 @@ def keep_snapshot(
 ) -> StreamingQuery:
     """Keep a Parquet table with the current value of every key; `read_snapshot` reads it.
 
-    Batches carry absolute totals and are written in turn to two folders, as one file each, so that a
-    batch is there whole or not at all. One that is repeated after a failure overwrites its own
-    folder; nothing is counted twice or lost. Meant for totals per time bucket, whose keys stay few
-    however many events there are; `state_partitions` says how many tasks share these keys.
+    Batches carry absolute totals. They are written in turn to two folders, each by the tasks that hold
+    the totals, and a batch counts once a mark says that its folder is whole. One that breaks off
+    leaves the batch before it in the other folder, and one that is repeated overwrites its own, so
+    nothing is lost or counted twice. Meant for totals per time bucket, whose keys stay few however
+    many events there are; `state_partitions` says how many tasks share these keys.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        numbered.repartition(1).write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+        number = F.lit(batch_id).cast("bigint").alias("batch_id")
+        batch.select("*", number).write.mode("overwrite").parquet(f"{path}/rows/slot={batch_id % 2}")
+        mark = batch.sparkSession.range(1).select(number)
+        mark.write.mode("overwrite").parquet(f"{path}/whole/slot={batch_id % 2}")
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
     return _start(totals, writer, checkpoint, every, available_now, state_partitions)
@@ -34,9 +37,9 @@ def keep_snapshot(
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the newest whole batch that `keep_snapshot` has written."""
-    slots = spark.read.parquet(path)
-    newest = slots.select(F.max("batch_id")).scalar()
-    return slots.filter(F.col("batch_id") == newest).drop("batch_id", "slot")
+    newest = spark.read.parquet(f"{path}/whole").select(F.max("batch_id")).scalar()
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("batch_id") == newest)
+    return rows.drop("batch_id", "slot")
 
 
 def keep_daily(
@@ -63,6 +66,8 @@ def keep_daily(
             stored = batch.sparkSession.read.schema(layout).parquet(path)
             # As many days as the events of one batch span.
             days = [row.day for row in changed.select("day").distinct().collect()]
+            if not days:
+                return
             earlier = _newest_of_day(
                 stored.filter(F.col("day").isin(days) & (F.col("batch_id") < batch_id))
             )

@@ -217,6 +217,26 @@ def test_repeated_batch_counts_once(spark, topic):
     assert totals() == expected
 
 
+def test_broken_off_snapshot_is_not_read(spark, topic):
+    for _ in range(3):
+        topic.send(download("20191106093559"))
+    path = topic.run(keep_snapshot, running_downloads(parse_downloads(topic.stream())))
+    assert rows_of(read_snapshot(spark, path)) == [("20191106", 3)]
+    # The next batch has written some of its rows, but not its mark.
+    half = spark.createDataFrame([("20191106", 99, 3)], "bucket string, downloads bigint, batch_id bigint")
+    half.write.mode("overwrite").parquet(f"{path}/rows/slot=1")
+    assert rows_of(read_snapshot(spark, path)) == [("20191106", 3)]
+
+
+def test_watermarked_buckets_need_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            running_downloads(parse_downloads(messages(spark, DOWNLOAD)), "day", watermark="1 hour")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("salt", [1, 4])
 def test_blocked_users_are_left_out(spark, salt):
     events = parse_downloads(messages(spark, *[download("20191106093559", u) for u in (1, 1, 2, 3, 3)]))
