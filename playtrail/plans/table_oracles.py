@@ -201,6 +201,25 @@ TOPIC_REJECTS = """
     WHERE event_type <> 'purchase'"""
 
 
+LIVE = " UNION ALL ".join(
+    f"SELECT '{name}' AS output, count(*) AS result_rows, CAST({events} AS BIGINT) AS events FROM ({sql})"
+    for name, events, sql in (
+        ("downloads", "sum(downloads)", _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, "day")),
+        ("payments", "sum(orders)", _totals([PAYMENTS], "p", PAYMENT_SUMS, "day")),
+        (
+            "downloads_not_blocked_totals", "sum(downloads)",
+            _totals([DOWNLOADS, BLOCKED], "d", DOWNLOAD_COUNT, "day", NOT_BLOCKED),
+        ),
+        (
+            "payments_not_blocked_totals", "sum(orders)",
+            _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),
+        ),
+        ("downloads_not_blocked", "count(*)", DOWNLOADS_NOT_BLOCKED),
+        ("payments_not_blocked", "count(*)", PAYMENTS_NOT_BLOCKED),
+    )
+)
+
+
 def table_oracles() -> dict[str, str]:
     found = {
         "top_games_by_month": _by_month(f"LIMIT {TOP_N}"),
@@ -240,6 +259,7 @@ def table_oracles() -> dict[str, str]:
         "downloads_by_day_not_blocked": _totals([DOWNLOADS, BLOCKED], "d", DOWNLOAD_COUNT, "day", NOT_BLOCKED),
         "payments_by_day_not_blocked": _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),
         "topic_rejects": TOPIC_REJECTS,
+        "live_run": LIVE,
     }
     for name in BUCKETS:
         found[f"downloads_by_{name}"] = _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, name)

@@ -23,6 +23,7 @@ from playtrail.operators import (
 )
 from playtrail.operators.keyed import BROWSE_KEY, latest_per_key
 from playtrail.plans.batch import run_batch
+from playtrail.plans.live import start_live
 from playtrail.plans.table_views import (
     DOWNLOADS,
     PAYMENTS,
@@ -297,6 +298,32 @@ def topic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(rejected_messages(messages, PAYMENTS, payment=True).select("value", "reason"), "rejects")
 
 
+def live_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming run, summed up: rows and events of its tables."""
+    root, checkpoints = new_folder(spark, "live"), new_folder(spark, "live-checkpoints")
+    messages, blocked = _stream_of(topic_messages(spark, sf_dir)), _blocked_table(spark, sf_dir)
+    started = start_live(
+        messages, blocked, root, checkpoints, DOWNLOADS, PAYMENTS, available_now=True,
+        state_partitions=TOTALS_PARTITIONS,
+    )
+    for query in started.values():
+        query.awaitTermination()
+    totals = {
+        "downloads": "downloads",
+        "payments": "orders",
+        "downloads_not_blocked_totals": "downloads",
+        "payments_not_blocked_totals": "orders",
+    }
+    counted = {name: (read_snapshot(spark, f"{root}/{name}"), F.sum(c)) for name, c in totals.items()}
+    for name in ("downloads_not_blocked", "payments_not_blocked"):
+        counted[name] = (spark.read.parquet(f"{root}/{name}"), F.count("*"))
+    summaries = [
+        rows.agg(F.lit(name).alias("output"), F.count("*").alias("result_rows"), events.alias("events"))
+        for name, (rows, events) in counted.items()
+    ]
+    return reduce(DataFrame.unionByName, summaries)
+
+
 def _plain_times(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the given tables have them."""
     times = [name for name, kind in df.dtypes if kind == "timestamp"]
@@ -345,5 +372,6 @@ def table_queries() -> dict[str, Query]:
         "downloads_by_day_not_blocked": downloads_by_day_not_blocked,
         "payments_by_day_not_blocked": payments_by_day_not_blocked,
         "topic_rejects": topic_rejects,
+        "live_run": live_run,
     }
     return found

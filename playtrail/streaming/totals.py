@@ -21,7 +21,8 @@ def running_downloads(
 
     Without `watermark` every bucket is kept for good. With one (such as "1 hour"), buckets are event
     time windows whose state is dropped once the watermark has passed, and so are events that come
-    later than that. Windows start at UTC midnight, so the session's time zone must be UTC then.
+    later than that. Such windows start at UTC midnight, so for days and hours the session's time
+    zone must be UTC.
     """
     return _by_bucket(downloads, grain, pooled, watermark, [F.count("*").alias("downloads")])
 
@@ -65,8 +66,8 @@ def _by_bucket(
     if pooled:
         raise ValueError("pooled buckets have no end, so a watermark can't close them")
     zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
-    if zone not in _UTC:
-        raise ValueError(f"buckets behind a watermark need a session in UTC, not in {zone}")
+    if grain != "minute" and zone not in _UTC:
+        raise ValueError(f"days and hours behind a watermark need a session in UTC, not in {zone}")
     totals = _windows(events, _WINDOW[grain], _WINDOW[grain], watermark).agg(*sums)
     name = F.date_format("window.start", _BUCKET_FORMAT[grain])
     return totals.select(name.alias("bucket"), *[c for c in totals.columns if c != "window"])
