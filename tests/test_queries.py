@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from playtrail.plans.table_oracles import table_oracles
+from playtrail.plans.table_queries import table_queries
 from tests.conftest import SF_DIR, TABLES, rows_of
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
@@ -21,10 +23,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    """The text operators have tests of their own where SQL can't express them."""
+    assert set(table_oracles()) == set(table_queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query_agrees_with_sql(spark, duck, sf_dir, name):
     found = entry_point.queries()[name](spark, sf_dir)
     result = duck.execute(entry_point.oracle_sql()[name])
