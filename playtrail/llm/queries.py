@@ -5,9 +5,27 @@ from pyspark.sql import functions as F
 
 from playtrail.llm.exact_dedup import exact_groups
 from playtrail.llm.mixing import mix
+from playtrail.llm.pieces import encode
+from playtrail.llm.pii import find_pii
 from playtrail.llm.quality import quality
 from playtrail.llm.sharding import N_SHARDS, SEED, shard_of, shuffled_shards, text_size
 from playtrail.llm.text import documents, whole
+from playtrail.llm.toxicity import THRESHOLD, held_out, score, train
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(documents(spark, sf_dir))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = documents(spark, sf_dir)
+    model = train(texts, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(texts, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +54,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict:
-    found = [op4_quality_rules, op5_sharding, op8_mixing, op9_exact_dedup]
+    found = [op1_pii, op3_toxicity, op4_quality_rules, op5_sharding, op8_mixing, op9_exact_dedup, op10_sentencepiece]
     return {query.__name__: query for query in found}
