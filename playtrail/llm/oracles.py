@@ -42,6 +42,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+OP2 = rf"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words, row_number() OVER () AS id FROM documents),
+starts AS (SELECT id, doc_id, unnest(generate_series(1, len(words) - 49)) AS first FROM split WHERE len(words) >= 50),
+windows AS (
+  SELECT id, s.doc_id, first, md5(array_to_string(words[first : first + 49], ' ')) AS words FROM starts s JOIN split USING (id)),
+hits AS (
+  SELECT id, doc_id, first, min(doc_id) OVER (PARTITION BY words) AS earliest FROM windows),
+covered AS (
+  SELECT DISTINCT id, unnest(generate_series(first, first + 49)) AS place FROM hits
+  WHERE earliest < coalesce(doc_id, 9223372036854775807)),
+places AS (SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM split),
+kept AS (
+  SELECT id, string_agg(word, ' ' ORDER BY p.place) AS text, count(*) AS n
+  FROM places p ANTI JOIN covered USING (id, place) GROUP BY id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (id)
+"""
+
 OP8 = rf"""
 WITH given AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
@@ -98,4 +117,4 @@ FROM plain WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULL
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_quality_rules": OP4, "op8_mixing": OP8, "op9_exact_dedup": OP9}
+    return {"op2_substring_dedup": OP2, "op4_quality_rules": OP4, "op8_mixing": OP8, "op9_exact_dedup": OP9}

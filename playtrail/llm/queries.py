@@ -9,6 +9,7 @@ from playtrail.llm.pieces import encode
 from playtrail.llm.pii import find_pii
 from playtrail.llm.quality import quality
 from playtrail.llm.sharding import N_SHARDS, SEED, shard_of, shuffled_shards, text_size
+from playtrail.llm.substring_dedup import repeated_passages
 from playtrail.llm.text import documents, whole
 from playtrail.llm.toxicity import THRESHOLD, held_out, score, train
 
@@ -17,6 +18,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(documents(spark, sf_dir))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = documents(spark, sf_dir)
     model = train(texts, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -59,5 +64,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    found = [op1_pii, op3_toxicity, op4_quality_rules, op5_sharding, op8_mixing, op9_exact_dedup, op10_sentencepiece]
+    found = [op1_pii, op2_substring_dedup, op3_toxicity, op4_quality_rules, op5_sharding, op8_mixing, op9_exact_dedup, op10_sentencepiece]
     return {query.__name__: query for query in found}

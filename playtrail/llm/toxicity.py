@@ -63,13 +63,11 @@ def learn(
     unlabelled: list[np.ndarray],
     prior: float,
     n_features: int = N_FEATURES,
-    epochs: int = 100,
+    n_steps: int = 300,
     rate: float = 0.03,
-    decay: float = 2e-5,
-    batch: int = 256,
+    decay: float = 2e-4,
     min_positive: int = 3,
-    min_surprise: float = 7.0,
-    seed: int = SEED,
+    min_surprise: float = 6.0,
 ) -> Model:
     """Minimises prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) for the logistic loss.
 
@@ -87,7 +85,6 @@ def learn(
     used = np.flatnonzero((in_toxic >= min_positive) & (surprise >= min_surprise))
     place = np.full(n_features, -1)
     place[used] = np.arange(len(used))
-    draw = np.random.default_rng(seed)
 
     def packed(rows):
         rows = [place[row] for row in rows]
@@ -95,48 +92,34 @@ def learn(
         bounds = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
         return np.concatenate([np.zeros(0, np.int64), *rows]), bounds
 
-    def chosen(data, rows):
-        flat, bounds = data
-        sizes = bounds[rows + 1] - bounds[rows]
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(bounds[rows], sizes)
-        return flat[at], owner
-
-    toxic, mixed_texts = packed(positive), packed(unlabelled)
-    n_toxic, n_mixed = len(positive), len(unlabelled)
+    (toxic, toxic_bounds), (texts, text_bounds) = packed(positive), packed(unlabelled)
+    n_toxic, n_texts = len(positive), len(unlabelled)
+    of_toxic, of_text = np.repeat(np.arange(n_toxic), np.diff(toxic_bounds)), np.repeat(np.arange(n_texts), np.diff(text_bounds))
     weights, bias = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
-    step = 0
-    per_toxic = max(16, round(batch * n_toxic / max(n_mixed, 1)))
-    for _ in range(epochs):
-        order = draw.permutation(n_mixed)
-        for begin in range(0, n_mixed, batch):
-            rows_u = order[begin : begin + batch]
-            rows_p = draw.integers(0, n_toxic, per_toxic)
-            fp, op = chosen(toxic, rows_p)
-            fu, ou = chosen(mixed_texts, rows_u)
-            gp = np.bincount(op, weights[fp], minlength=len(rows_p)) + bias
-            gu = np.bincount(ou, weights[fu], minlength=len(rows_u)) + bias
-            risk_clean = _log_loss(-gu).mean() - prior * _log_loss(-gp).mean()
-            sp, su = 1 / (1 + np.exp(-np.clip(gp, -30, 30))), 1 / (1 + np.exp(-np.clip(gu, -30, 30)))
-            # Derivatives by the margins: of the loss as toxic s - 1, of the loss as clean s.
-            if risk_clean >= 0:
-                dp, du = prior * (sp - 1) / len(sp) - prior * sp / len(sp), su / len(su)
-            else:
-                dp, du = prior * sp / len(sp), -su / len(su)
-            gradient = np.zeros(len(used) + 1)
-            gradient[:-1] = np.bincount(fp, dp[op], minlength=len(used)) + np.bincount(fu, du[ou], minlength=len(used)) + decay * weights
-            gradient[-1] = dp.sum() + du.sum()
-            step += 1
-            first = 0.9 * first + 0.1 * gradient
-            second = 0.99 * second + 0.01 * gradient**2
-            move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-            weights, bias = weights - move[:-1], bias - move[-1]
+    # All texts in every step: with parts of them the sign of the clean risk would be left to chance.
+    for step in range(1, n_steps + 1):
+        gp = np.bincount(of_toxic, weights[toxic], minlength=n_toxic) + bias
+        gu = np.bincount(of_text, weights[texts], minlength=n_texts) + bias
+        risk_clean = _log_loss(-gu).mean() - prior * _log_loss(-gp).mean()
+        sp, su = 1 / (1 + np.exp(-np.clip(gp, -30, 30))), 1 / (1 + np.exp(-np.clip(gu, -30, 30)))
+        # Derivatives by the margins: s - 1 of the loss as toxic, s of the loss as clean.
+        if risk_clean >= 0:
+            dp, du = prior * (sp - 1) / n_toxic - prior * sp / n_toxic, su / n_texts
+        else:
+            dp, du = prior * sp / n_toxic, -su / n_texts
+        gradient = np.append(
+            np.bincount(toxic, dp[of_toxic], minlength=len(used)) + np.bincount(texts, du[of_text], minlength=len(used)) + decay * weights,
+            dp.sum() + du.sum(),
+        )
+        first = 0.9 * first + 0.1 * gradient
+        second = 0.99 * second + 0.01 * gradient**2
+        move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+        weights, bias = weights - move[:-1], bias - move[-1]
     full = np.zeros(n_features)
     full[used] = np.where(np.abs(weights) > 0.02, weights, 0)
     # The score's threshold is put where as many unlabelled texts lie above it as are toxic by the prior.
-    flat, owner = chosen(mixed_texts, np.arange(n_mixed))
-    margins = np.bincount(owner, full[used][flat], minlength=n_mixed)
+    margins = np.bincount(of_text, full[used][texts], minlength=n_texts)
     cut = np.quantile(margins, 1 - 0.95 * prior)
     above = margins[margins > 0]
     cut = max(cut, above.min() if len(above) else 1.0)
@@ -195,7 +178,7 @@ def train(
     parts: tuple[list, list] = ([], [])
     for row in rows:
         parts[row.part].append(np.frombuffer(row.features, np.int32).astype(np.int64))
-    return learn(parts[1], parts[0], prior, n_features, seed=seed)
+    return learn(parts[1], parts[0], prior, n_features)
 
 
 def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
