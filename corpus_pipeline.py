@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playtrail.llm.exact_dedup import drop_exact_copies
 from playtrail.llm.mixing import mixed
+from playtrail.llm.ngram_join import drop_near_copies
+from playtrail.llm.pieces import encode
 from playtrail.llm.quality import quality
 from playtrail.llm.text import documents, stored
 
@@ -18,15 +20,28 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that similar sets of five-word shingles connect."""
+    return drop_near_copies(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it."""
     return mixed(docs)
 
 
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece ids of every document."""
+    return encode(docs)
+
+
+# What the stages do hangs on hashes and merges that SQL can't express; tests hold them against plain code.
 STAGES = [
     ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
+    ("n-gram join", near_stage),
     ("mixing sources", mixing_stage),
+    ("piece encoding", encoding_stage),
 ]
 
 ORACLE_SQL = None

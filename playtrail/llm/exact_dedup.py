@@ -1,16 +1,13 @@
 """Exact duplicates: a two-pass Bloom filter finds the hashes that may repeat, and only their rows shuffle."""
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playtrail.llm.repeats import MAX_FILTER_BYTES, bit_map, cell, filter_bits, in_map
 from playtrail.llm.text import stored, whole, without_space
 
 BITS_PER_ROW = 16
-MAX_FILTER_BYTES = 1 << 25
-# Bits of one `bitmap_construct_agg`, a fixed value of Spark.
-_BITMAP_BITS = 32768
 
 _SHA, _HASH, _LENGTH = "__exact_sha", "__exact_hash", "__exact_length"
 
@@ -25,47 +22,24 @@ def _with_hash(df: DataFrame, text: str) -> DataFrame:
 
 def _cells(hashed: Column, bits: int) -> list[Column]:
     """The two places of a hash in a filter of that many bits, a power of two."""
-    return [hashed.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(hashed, 64 - (bits.bit_length() - 1))]
+    return [cell(hashed, bits), F.shiftrightunsigned(hashed, 64 - (bits.bit_length() - 1))]
 
 
-def filter_bits(n_rows: int, bits_per_row: int = BITS_PER_ROW, max_bytes: int = MAX_FILTER_BYTES) -> int:
-    wanted = max(n_rows * bits_per_row, _BITMAP_BITS)
-    return min(1 << (wanted - 1).bit_length(), 1 << ((max_bytes * 8).bit_length() - 1))
+def _may_repeat(keys: DataFrame, max_bytes: int) -> Column:
+    """First pass: the places that two or more rows hit. Second pass, the column: whether a row's both places are such.
 
-
-def _repeat_filter(spark: SparkSession, keys: DataFrame, max_bytes: int):
-    """First pass: the places that two or more rows hit, as a broadcast bit map and its size.
-
-    Its size follows the number of rows up to `max_bytes`. A fuller filter only lets more rows
+    The filter's size follows the number of rows up to `max_bytes`. A fuller filter only lets more rows
     through to the exact comparison.
     """
-    bits = filter_bits(keys.count(), max_bytes=max_bytes)
+    bits = filter_bits(keys.count(), BITS_PER_ROW, max_bytes)
     hits = keys.select(F.explode(F.array(*_cells(F.col(_HASH), bits))).alias("cell")).groupBy("cell").count()
-    maps = (
-        hits.where("count > 1")
-        .groupBy(F.bitmap_bucket_number("cell").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
-    )
-    places = np.zeros(bits // 8 + _BITMAP_BITS // 8, np.uint8)
-    for row in maps.toLocalIterator():
-        # Bucket b, from 1 on, has the positions of the cells (b - 1) * 32768 + 1 to b * 32768; cell 0 is in bucket 0.
-        start = row.bucket * _BITMAP_BITS // 8
-        places[start : start + len(row.bits)] |= np.frombuffer(row.bits, np.uint8)
-    return spark.sparkContext.broadcast(places), bits
-
-
-def _may_repeat(places, bits: int) -> Column:
-    """Second pass: whether the filter has both places of a hash."""
+    places = bit_map(hits.where("count > 1").select("cell"), bits)
 
     @F.pandas_udf("boolean")
-    def probe(bucket: pd.Series, position: pd.Series) -> pd.Series:
-        at = bucket.to_numpy(np.int64) * (_BITMAP_BITS // 8) + (position.to_numpy(np.int64) >> 3)
-        return pd.Series((places.value[at] >> (position.to_numpy(np.int64) & 7)) & 1 == 1)
+    def probe(first: pd.Series, second: pd.Series) -> pd.Series:
+        return pd.Series(in_map(places.value, first.to_numpy()) & in_map(places.value, second.to_numpy()))
 
-    first, second = _cells(F.col(_HASH), bits)
-    return probe(F.bitmap_bucket_number(first), F.bitmap_bit_position(first)) & probe(
-        F.bitmap_bucket_number(second), F.bitmap_bit_position(second)
-    )
+    return probe(*_cells(F.col(_HASH), bits))
 
 
 def _best(doc_id: str) -> Column:
@@ -82,12 +56,11 @@ def exact_groups(
     group. The longest text of a group stays, then the smallest id (null last); of repeated rows, which
     tie in both, exactly one is `kept`. An empty table gives no rows; other columns are ignored.
     """
-    spark = df.sparkSession
     hashed = _with_hash(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__exact_text")), "__exact_text")
     keys = stored(
         hashed.select("doc_id", _SHA, _HASH, _LENGTH, F.monotonically_increasing_id().alias("row")), "exact-keys"
     )
-    marked = stored(keys.withColumn("again", _may_repeat(*_repeat_filter(spark, keys, max_filter_bytes))), "exact-marked")
+    marked = stored(keys.withColumn("again", _may_repeat(keys, max_filter_bytes)), "exact-marked")
     best = F.min(F.struct(_best("doc_id").alias("best"), "row"))
     groups = marked.where("again").groupBy(_SHA).agg(best.alias("keep"), F.count("*").alias("group_size"))
     repeated = marked.where("again").join(groups, _SHA).select(
@@ -107,10 +80,9 @@ def drop_exact_copies(
     Rows whose hash occurs once go straight through. Of the others, the winners are told by
     (group, id, length), and rows that are the same in all three come down to one.
     """
-    spark = df.sparkSession
     hashed = _with_hash(df, text)
     keys = stored(hashed.select(F.col(doc_id).alias("doc_id"), _SHA, _HASH, _LENGTH), "exact-keys")
-    repeats = _may_repeat(*_repeat_filter(spark, keys, max_filter_bytes))
+    repeats = _may_repeat(keys, max_filter_bytes)
     marked = hashed.withColumn("__exact_again", repeats)
     winners = (
         keys.where(repeats).groupBy(_SHA).agg(F.min(_best("doc_id")).alias("best"))

@@ -61,6 +61,33 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
 FROM split LEFT JOIN kept USING (id)
 """
 
+OP6 = rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS words,
+         row_number() OVER () AS id
+  FROM documents),
+starts AS (
+  SELECT id, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS first FROM split WHERE len(words) > 0),
+grams AS (SELECT DISTINCT id, hash(array_to_string(words[first : first + 4], ' ')) AS gram FROM starts JOIN split USING (id)),
+sizes AS (SELECT id, count(*) AS size, list(gram ORDER BY gram) AS grams FROM grams GROUP BY id),
+classes AS (SELECT min(id) AS class, size, grams FROM sizes GROUP BY size, grams),
+members AS (SELECT id, class FROM sizes JOIN classes USING (size, grams)),
+entries AS (SELECT class, size, unnest(grams) AS gram FROM classes),
+common AS (SELECT gram FROM entries GROUP BY gram HAVING count(*) > 1),
+shared AS (SELECT * FROM entries SEMI JOIN common USING (gram)),
+products AS (
+  SELECT a.class AS a, b.class AS b, any_value(a.size) AS m, any_value(b.size) AS n, count(*) AS together
+  FROM shared a JOIN shared b USING (gram)
+  WHERE a.class <> b.class AND 100 * a.size >= 80 * b.size AND 100 * b.size >= 80 * a.size
+  GROUP BY a.class, b.class),
+links AS (SELECT a, b FROM products WHERE 100 * together >= 80 * (m + n - together)),
+reach(a, b) AS (SELECT class, class FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT class, min(doc_id) AS least FROM members JOIN split USING (id) GROUP BY class),
+named AS (SELECT a AS class, min(least) AS named FROM reach JOIN least ON reach.b = least.class GROUP BY a)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, coalesce(named, doc_id) AS component_id
+FROM split LEFT JOIN sizes USING (id) LEFT JOIN members USING (id) LEFT JOIN named USING (class)
+"""
+
 OP8 = rf"""
 WITH given AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
@@ -117,4 +144,4 @@ FROM plain WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULL
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_substring_dedup": OP2, "op4_quality_rules": OP4, "op8_mixing": OP8, "op9_exact_dedup": OP9}
+    return {"op2_substring_dedup": OP2, "op6_ngram_join": OP6, "op4_quality_rules": OP4, "op8_mixing": OP8, "op9_exact_dedup": OP9}
