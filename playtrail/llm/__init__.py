@@ -1 +1,8 @@
 """Operators that prepare text for training. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code: executors need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

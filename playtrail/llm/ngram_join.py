@@ -176,7 +176,7 @@ def _overlaps(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs `(a, b)` of classes with `linked`, counted on their whole sets."""
     left = sets.select(F.col("key").alias("a"), F.col("grams").alias("left_grams"))
     right = sets.select(F.col("key").alias("b"), F.col("grams").alias("right_grams"))
@@ -184,7 +184,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(rows.mapInArrow(_overlaps(percent), "a bigint, b bigint, linked boolean"), "ngram-pairs")
 
 
-def _may_reach(one: Column, other: Column, percent: int) -> Column:
+def may_reach(one: Column, other: Column, percent: int) -> Column:
     """The sizes of two sets allow the similarity."""
     return (100 * one >= percent * other) & (100 * other >= percent * one)
 
@@ -223,10 +223,10 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_columns: int) -> D
     sets = stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "ngram-sets")
 
     against_least = (
-        members.where(F.col("key") != F.col("least.key")).where(_may_reach(F.col("size"), F.col("least.size"), percent))
+        members.where(F.col("key") != F.col("least.key")).where(may_reach(F.col("size"), F.col("least.size"), percent))
         .select(*_ordered(F.col("key"), F.col("least.key"))).distinct()
     )
-    first = _verified(against_least, sets, percent)
+    first = verified(against_least, sets, percent)
     joined = components(first.where("linked"))
     placed = members.select("column", "key", "size").join(joined.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("component", F.coalesce("component", "key"))
@@ -234,10 +234,10 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_columns: int) -> D
     placed = stored(placed.join(open_columns.select("column"), "column", "left_semi"), "ngram-open")
     one, other = (placed.select("column", *(F.col(c).alias(c + mark) for c in ("key", "size", "component"))) for mark in "12")
     rest = (
-        one.join(other, "column").where("component1 < component2").where(_may_reach(F.col("size1"), F.col("size2"), percent))
+        one.join(other, "column").where("component1 < component2").where(may_reach(F.col("size1"), F.col("size2"), percent))
         .select(*_ordered(F.col("key1"), F.col("key2"))).distinct().join(first, ["a", "b"], "left_anti")
     )
-    second = _verified(rest, sets, percent)
+    second = verified(rest, sets, percent)
     return first.where("linked").unionByName(second.where("linked")).select("a", "b")
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrail.llm.exact_dedup import exact_groups
+from playtrail.llm.line_dedup import repeated_lines
 from playtrail.llm.mixing import mix
 from playtrail.llm.ngram_join import near_groups
 from playtrail.llm.pieces import encode
@@ -56,6 +57,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -69,5 +74,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    found = [op1_pii, op2_substring_dedup, op3_toxicity, op4_quality_rules, op5_sharding, op6_ngram_join, op8_mixing, op9_exact_dedup, op10_sentencepiece]
+    found = [op1_pii, op2_substring_dedup, op3_toxicity, op4_quality_rules, op5_sharding, op6_ngram_join, op7_line_dedup, op8_mixing, op9_exact_dedup, op10_sentencepiece]
     return {query.__name__: query for query in found}

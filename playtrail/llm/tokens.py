@@ -82,6 +82,7 @@ class Words:
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
+    offsets: np.ndarray  # where each text begins in `data`, and its end
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
@@ -139,5 +140,5 @@ def steps(texts: pa.Array, gap: np.ndarray = SPACE_BYTES, lower=None, step_bytes
         fresh[own] = True
         starts = np.flatnonzero(word[1:] & (~word[:-1] | fresh))
         ends = np.flatnonzero(word[:-1] & (~word[1:] | fresh))
-        yield Words(first, data, starts, ends, np.searchsorted(starts, own))
+        yield Words(first, data, starts, ends, np.searchsorted(starts, own), own)
         first = last
