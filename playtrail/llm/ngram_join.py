@@ -15,7 +15,7 @@ from playtrail.llm.tokens import Rolling, ascii_lower, byte_values, mixed, steps
 N_GRAM = 5
 SIMILARITY_PERCENT = 80
 # Counters of how often columns occur; each is one byte when broadcast.
-RARITY_CELLS = 1 << 20
+MAX_RARITY_CELLS = 1 << 25
 _SEGMENT = 1 << 14
 FILTER_BITS_PER_COLUMN = 8
 _VALUES = byte_values(6)
@@ -66,23 +66,28 @@ def _classes(n: int):
 
 
 def _counted(n: int, cells: int):
-    """How often each counter's columns occur in the texts of a task, in segments."""
+    """How often each counter's columns occur in the texts of a task, in segments of bytes; 255 stands for more."""
 
     def run(batches):
-        counts = np.zeros(cells, np.int64)
+        counts = np.zeros(cells, np.uint32)
         for batch in batches:
             for _, sets in gram_sets(batch.column(1), n):
-                counts += np.bincount((np.concatenate(sets) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-        segments = counts.reshape(-1, _SEGMENT)
-        full = np.flatnonzero(segments.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(full.astype(np.int32)), pa.array([segments[k].astype(np.uint32).tobytes() for k in full], pa.binary())], ["segment", "counts"]
-        )
+                places, times = np.unique(np.concatenate(sets) & np.uint64(cells - 1), return_counts=True)
+                counts[places.astype(np.int64)] += times.astype(np.uint32)
+        segments = np.minimum(counts, 255).astype(np.uint8).reshape(-1, _SEGMENT)
+        for full in np.array_split(np.flatnonzero(segments.any(axis=1)), 16):
+            blobs = pa.array([segments[k].tobytes() for k in full], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), blobs], ["segment", "counts"])
 
     return run
 
 
-def rarity_levels(texts: DataFrame, n: int = N_GRAM, cells: int = RARITY_CELLS):
+def rarity_cells(n_entries: int) -> int:
+    """Counters for so many entries, a power of two within bounds: about twenty entries share one."""
+    return min(max(1 << max(n_entries // 20 - 1, 0).bit_length(), _SEGMENT), MAX_RARITY_CELLS)
+
+
+def rarity_levels(texts: DataFrame, n: int, cells: int):
     """For each counter a level, 0 for columns no more common than most and one more for each further half octave.
 
     Levels only set the order in which columns are looked at, which may be any for right results; with
@@ -91,15 +96,15 @@ def rarity_levels(texts: DataFrame, n: int = N_GRAM, cells: int = RARITY_CELLS):
     parts = texts.mapInArrow(_counted(n, cells), "segment int, counts binary")
 
     def total(key, table):
-        counts = np.zeros(_SEGMENT, np.int64)
+        counts = np.zeros(_SEGMENT, np.uint32)
         for value in table.column("counts"):
-            counts += np.frombuffer(value.as_buffer(), np.uint32)
+            counts += np.frombuffer(value.as_buffer(), np.uint8)
         return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "counts": [counts.tobytes()]})
 
-    counts = np.zeros(cells, np.int64)
+    counts = np.zeros(cells, np.uint32)
     for row in parts.groupBy("segment").applyInArrow(total, "segment int, counts binary").toLocalIterator():
-        counts[row.segment * _SEGMENT : (row.segment + 1) * _SEGMENT] = np.frombuffer(row.counts, np.int64)
-    usual = max(counts.mean(), 1.0)
+        counts[row.segment * _SEGMENT : (row.segment + 1) * _SEGMENT] = np.frombuffer(row.counts, np.uint32)
+    usual = max(float(counts.mean()), 1.0)
     levels = np.clip(np.rint(2 * np.log2(np.maximum(counts, 1) / usual)) - 1, 0, 255).astype(np.uint8)
     return texts.sparkSession.sparkContext.broadcast(levels)
 
@@ -193,14 +198,36 @@ def _ordered(one: Column, other: Column) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def similar_classes(texts: DataFrame, n: int, percent: int, n_columns: int) -> DataFrame:
+def _sets_of(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """The sets of the classes in candidate pairs."""
+    keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "ngram-keys")
+    bits = filter_bits(keys.count(), 16)
+    wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")).distinct(), bits)
+    sets = texts.select("text").mapInArrow(_kept_sets(n, wanted, bits), "key bigint, grams binary")
+    return stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "ngram-sets")
+
+
+def _least_common(one: Column, other: Column, percent: int) -> Column:
+    """How many columns the prefixes of two similar sets have in common at least.
+
+    Up to the end of the prefix that ends first, all common columns are in both prefixes; the rest of that set bounds what
+    can follow. Together they must come to the overlap that the sizes ask for.
+    """
+    overlap = F.ceil((one + other) * percent / (100 + percent))
+    rest = lambda size: F.ceil(size * percent / 100) - 1
+    return F.greatest(overlap - F.greatest(rest(one), rest(other)), F.lit(1))
+
+
+def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_columns: int) -> DataFrame:
     """Links `(a, b)` between classes of equal sets that connect exactly the classes that similarity connects.
 
-    Classes are candidates if they share a column of their prefixes. First every class of a column is held against the
-    column's least class only, which gathers large groups of near copies without their pairs. Then, in
-    each column, all pairs of classes that are not connected yet follow. Columns with the same classes count once.
+    The product runs over the columns of prefixes, a fifth of all. Each column's classes are multiplied with the column's
+    least class first; sums that are large enough are verified on whole sets and joined to components,
+    which gathers large groups of near copies without all their pairs. Then the entries
+    of different components follow, all of them; those whose sum stays below the bound from the two
+    sizes go, the rest is verified. Columns with the same classes are multiplied once, with their number as weight.
     """
-    levels = rarity_levels(texts, n)
+    levels = rarity_levels(texts, n, rarity_cells(n_entries))
     columns = texts.mapInArrow(_prefixes(n, percent, levels), "column bigint")
     bits = filter_bits(n_columns, FILTER_BITS_PER_COLUMN)
     repeated = columns.groupBy("column").count().where("count > 1").select(cell(F.col("column"), bits).alias("cell"))
@@ -212,32 +239,31 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_columns: int) -> D
         F.count("*").alias("n"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("xor"),
         F.min(F.struct("key", "size")).alias("least"),
     ).where("n > 1")
-    lists = lists.groupBy("n", "sum", "xor").agg(F.min("column").alias("column"), F.first("least").alias("least"))
-    lists = stored(lists.select("column", "least"), "ngram-lists")
-    members = stored(posts.join(lists, "column"), "ngram-members")
-
-    keys = members.select("key").distinct()
-    bits = filter_bits(members.count(), 16)
-    wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")), bits)
-    sets = texts.select("text").mapInArrow(_kept_sets(n, wanted, bits), "key bigint, grams binary")
-    sets = stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "ngram-sets")
+    lists = lists.groupBy("n", "sum", "xor").agg(F.min("column").alias("column"), F.first("least").alias("least"), F.count("*").alias("weight"))
+    members = stored(posts.join(lists.select("column", "least", "weight"), "column"), "ngram-members")
 
+    size, least_size = F.col("size"), F.col("least.size")
     against_least = (
-        members.where(F.col("key") != F.col("least.key")).where(may_reach(F.col("size"), F.col("least.size"), percent))
-        .select(*_ordered(F.col("key"), F.col("least.key"))).distinct()
+        members.where(F.col("key") != F.col("least.key")).where(may_reach(size, least_size, percent))
+        .groupBy(*_ordered(F.col("key"), F.col("least.key")), F.ceil(_least_common(size, least_size, percent) / 2).alias("enough"))
+        .agg(F.sum("weight").alias("together")).where("together >= enough").select("a", "b")
     )
-    first = verified(against_least, sets, percent)
+    against_least = stored(against_least, "ngram-first")
+    first = verified(against_least, _sets_of(against_least, texts, n), percent)
     joined = components(first.where("linked"))
-    placed = members.select("column", "key", "size").join(joined.withColumnRenamed("node", "key"), "key", "left")
+    placed = members.select("column", "weight", "key", "size").join(joined.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("component", F.coalesce("component", "key"))
     open_columns = placed.groupBy("column").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     placed = stored(placed.join(open_columns.select("column"), "column", "left_semi"), "ngram-open")
-    one, other = (placed.select("column", *(F.col(c).alias(c + mark) for c in ("key", "size", "component"))) for mark in "12")
+    one, other = (placed.select("column", *(F.col(c).alias(c + mark) for c in ("weight", "key", "size", "component"))) for mark in "12")
     rest = (
         one.join(other, "column").where("component1 < component2").where(may_reach(F.col("size1"), F.col("size2"), percent))
-        .select(*_ordered(F.col("key1"), F.col("key2"))).distinct().join(first, ["a", "b"], "left_anti")
+        .groupBy(*_ordered(F.col("key1"), F.col("key2")), _least_common(F.col("size1"), F.col("size2"), percent).alias("enough"))
+        .agg(F.sum("weight1").alias("together")).where("together >= enough")
+        .select("a", "b").join(first, ["a", "b"], "left_anti")
     )
-    second = verified(rest, sets, percent)
+    rest = stored(rest, "ngram-second")
+    second = verified(rest, _sets_of(rest, texts, n), percent)
     return first.where("linked").unionByName(second.where("linked")).select("a", "b")
 
 
@@ -248,8 +274,9 @@ def _grouped(df: DataFrame, n: int, percent: int, doc_id: str, text: str) -> Dat
     told = texts.mapInArrow(_classes(n), f"doc_id {kind}, mark bigint, size bigint, key bigint")
     told = stored(told, "ngram-classes")
     classes = told.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
-    n_columns = told.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
-    links = similar_classes(texts.select("doc_id", "text"), n, percent, int(n_columns))
+    n_entries, n_texts = told.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    n_columns = n_entries * (100 - percent) // 100 + n_texts
+    links = similar_classes(texts.select("doc_id", "text"), n, percent, n_entries, n_columns)
     linked = components(links).join(classes.withColumnRenamed("key", "node"), "node")
     named = linked.groupBy("component").agg(F.min("least").alias("named"))
     of_class = linked.join(named, "component").select(F.col("node").alias("key"), "component", "named")

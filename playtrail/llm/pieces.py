@@ -102,6 +102,7 @@ class PieceTransducer:
         self.unknown = model.kinds.index(UNKNOWN) if UNKNOWN in model.kinds else 0
         self.bytes = {int(p[3:5], 16): n for n, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == BYTE}
         self.longest = max(map(len, ids), default=1)
+        self.beginnings = {piece[:k] for piece in ids for k in range(2, len(piece) + 1)}
         self.unknown_weight = UNKNOWN_PENALTY - min((model.scores[n] for n in ids.values()), default=0.0)
         # Places that no piece crosses cut a text into parts of their own: before a mark that follows
         # something else, and around characters that only stand alone.
@@ -109,6 +110,8 @@ class PieceTransducer:
         crosses = any(re.search(f"[^{MARK}]{MARK}", piece) for piece in ids)
         self.cut_lines = "\n" not in joined and not crosses
         self.parts = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if self.cut_lines else "(?s).+")
+        # Two characters in a row that no piece has in a row: a path must part there.
+        self.pairs = {piece[k : k + 2] for piece in ids for k in range(len(piece) - 1)}
         self.fits: dict[tuple[str, str], bool] = {}
         self.reached: dict[str, bool] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
@@ -139,7 +142,7 @@ class PieceTransducer:
     def _reached(self, piece: str) -> bool:
         found = self.reached.get(piece)
         if found is None:
-            found = self.reached[piece] = self.merged(piece) == [piece]
+            found = self.reached[piece] = piece in self.ids and self.merged(piece) == [piece]
         return found
 
     def _fit(self, left: str, right: str) -> bool:
@@ -160,31 +163,37 @@ class PieceTransducer:
         A state is a place and the last piece; states from which the end is out of reach are kept, so
         that each is entered once.
         """
-        ids, reached, fits, size, longest = self.ids, self.reached, self.fits, len(text), self.longest
-        path, tries, dead = [""], [min(size, longest)], set()
-        at = 0
+        fits, size = self.fits, len(text)
+        path, tries, dead, at = [""], [self._ends(text, 0)], set(), 0
         while at < size:
-            last, end = path[-1], tries[-1]
-            while end > at:
+            last, ends = path[-1], tries[-1]
+            while ends:
+                end = ends.pop()
                 piece = text[at:end]
-                # A character stands for itself, a longer piece if merging makes it from its characters.
-                if (end == at + 1 or piece in ids and (reached[piece] if piece in reached else self._reached(piece))) and (
-                    not last or (fits[last, piece] if (last, piece) in fits else self._fit(last, piece))
-                ):
+                if not last or (fits[last, piece] if (last, piece) in fits else self._fit(last, piece)):
                     if not dead or (end, piece) not in dead:
+                        path.append(piece)
+                        tries.append(self._ends(text, end))
+                        at = end
                         break
-                end -= 1
-            tries[-1] = end - 1
-            if end > at:
-                path.append(piece)
-                tries.append(min(size, end + longest))
-                at = end
             else:
                 dead.add((at, path.pop()))
                 tries.pop()
                 at -= len(last)
         return path[1:]
 
+    def _ends(self, text: str, at: int) -> list[int]:
+        """Where the arcs from a place end, the longest last: those of its character and of pieces that merging makes."""
+        reached, beginnings = self.reached, self.beginnings
+        ends = [at + 1]
+        for end in range(at + 2, len(text) + 1):
+            piece = text[at:end]
+            if piece not in beginnings:
+                break
+            if reached[piece] if piece in reached else self._reached(piece):
+                ends.append(end)
+        return ends
+
     def _score_path(self, text: str) -> list[str]:
         ids, scores, size = self.ids, self.model.scores, len(text)
         best: list[tuple[float, int]] = [(0.0, 0)] + [(inf, 0)] * size
@@ -215,20 +224,30 @@ class PieceTransducer:
                 found.append(self.unknown)
         return tuple(found)
 
+    def _segments(self, text: str) -> list[str]:
+        """The text cut where no piece crosses."""
+        pairs, cuts = self.pairs, [0]
+        for k in range(1, len(text)):
+            if text[k - 1 : k + 1] not in pairs:
+                cuts.append(k)
+        return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+
     def _part(self, part: str) -> tuple[int, ...]:
-        found = self.cache.get(part)
-        if found is None:
-            if len(self.cache) >= MAX_CACHED:
-                self.cache.clear()
-            found = self.cache[part] = self._spelled(self.shortest_path(part))
+        """The ids of a part; those of its segments are kept, as words share them."""
+        cache, found = self.cache, ()
+        for segment in self._segments(part):
+            ids = cache.get(segment)
+            if ids is None:
+                if len(cache) >= MAX_CACHED:
+                    cache.clear()
+                ids = cache[segment] = self._spelled(self.shortest_path(segment))
+            found += ids
         return found
 
     def _led_part(self, word: str) -> tuple[int, ...]:
-        found = self.led.get(word)
-        if found is None:
-            if len(self.led) >= MAX_CACHED:
-                self.led.clear()
-            found = self.led[word] = self._spelled(self.shortest_path(MARK + word))
+        if len(self.led) >= MAX_CACHED:
+            self.led.clear()
+        found = self.led[word] = self._part(MARK + word)
         return found
 
     def encode(self, text: str) -> list[int]:
