@@ -4,23 +4,33 @@ and length filters give candidates, whose Jaccard similarity is then counted; la
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.llm.ngram_join import may_reach, needed, verified
 from playtrail.llm.repeats import bit_map, cell, filter_bits, in_map
-from playtrail.llm.text import stored
+from playtrail.llm.text import stored, whole
 from playtrail.llm.tokens import Words, byte_values, mixed, steps
+from playtrail.scratch import remove_folder
 
 SIMILARITY_PERCENT = 80
 MIN_WORDS = 5
 RARITY_CELLS = 1 << 20
+# Prefix tokens that meet in one block, and those of one token from which on Spark joins them instead.
+POSTS_PER_BLOCK = 500_000
+HOT_POSTS = 20_000
 _SEGMENT = 1 << 14
 _LAST = (1 << 63) - 1
 _VALUES = byte_values(7)
 
 
+def _narrow(lines: np.ndarray) -> np.ndarray:
+    """Line numbers in 16 bits if they fit, which are sorted in linear time."""
+    return lines.astype(np.uint16) if len(lines) and lines.max() < 1 << 16 else lines
+
+
 class _Lines:
     """The token sets of all lines of a step that have words enough, as arrays sorted by line and token."""
 
@@ -34,7 +44,8 @@ class _Lines:
         line_words = np.bincount(line, minlength=0) if len(line) else np.zeros(0, np.int64)
         enough = line_words[line] >= min_words if len(line) else np.zeros(0, bool)
         hashes = words.hashes(_VALUES)
-        order = np.lexsort((hashes[enough], line[enough]))
+        order = np.argsort(hashes[enough])
+        order = order[np.argsort(_narrow(line[enough])[order], kind="stable")]
         lines, tokens, owners = line[enough][order], hashes[enough][order], owner[enough][order]
         fresh = np.ones(len(lines), bool)
         fresh[1:] = (lines[1:] != lines[:-1]) | (tokens[1:] != tokens[:-1])
@@ -58,81 +69,138 @@ class _Lines:
         return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(self.tokens) >> np.uint64(58)), self.starts).view(np.int64)
 
     def prefixes(self, levels: np.ndarray, percent: int):
-        """Line, token and place of the tokens by which each line is found, the rarest ones."""
+        """The tokens by which each line is found, its rarest ones in their order, and how many each line has.
+
+        They are cut to 32 bits: two tokens that fall together only lead to one more candidate.
+        """
         line = np.repeat(np.arange(len(self.starts)), self.sizes)
         level = levels[(self.tokens & np.uint64(len(levels) - 1)).astype(np.int64)]
-        order = np.lexsort((self.tokens, level, line))
-        place = np.arange(len(line)) - np.repeat(self.starts, self.sizes)
-        keep = place < np.repeat(self.sizes - needed(self.sizes, percent) + 1, self.sizes)
-        return line[keep], self.tokens[order][keep].view(np.int64), place[keep]
+        order = np.argsort(level, kind="stable")
+        order = order[np.argsort(_narrow(line)[order], kind="stable")]
+        lengths = self.sizes - needed(self.sizes, percent) + 1
+        keep = np.arange(len(line)) - np.repeat(self.starts, self.sizes) < np.repeat(lengths, self.sizes)
+        return self.tokens[order][keep].astype(np.uint32).view(np.int32), lengths
+
 
+LINE_ROW = "place bigint, mark bigint, line int, key bigint, size int, parity bigint, prefix array<int>"
 
-def _line_table(min_words: int):
+
+def _line_rows(min_words: int, percent: int, levels):
     def run(batches):
         for batch in batches:
             places, marks = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for words in steps(batch.column(1)):
                 own = _Lines(words, min_words)
                 at = words.first + own.owner
-                arrays = [places[at], marks[at], own.number.astype(np.int32), own.keys]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["place", "mark", "line", "key"])
+                tokens, lengths = own.prefixes(levels.value, percent)
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                arrays = [places[at], marks[at], own.number.astype(np.int32), own.keys, own.sizes.astype(np.int32), own.parities()]
+                prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, arrays), prefix], ["place", "mark", "line", "key", "size", "parity", "prefix"]
+                )
 
     return run
 
 
-def _counted(min_words: int, cells: int):
+def _counted(cells: int):
+    """How often each counter's words occur in the texts of a task, in segments."""
+
     def run(batches):
         counts = np.zeros(cells, np.int64)
-        n_prefix = 0
         for batch in batches:
             for words in steps(batch.column(0)):
-                own = _Lines(words, min_words)
-                counts += np.bincount((own.tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-                n_prefix += int((own.sizes // 4 + 1).sum())
+                counts += np.bincount((words.hashes(_VALUES) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
         segments = counts.reshape(-1, _SEGMENT)
         full = np.flatnonzero(segments.any(axis=1))
         blobs = pa.array([segments[k].astype(np.uint32).tobytes() for k in full], pa.binary())
-        prefix = pa.array(np.where(np.arange(len(full)) == 0, n_prefix, 0))
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), blobs, prefix], ["segment", "counts", "n_prefix"])
+        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), blobs], ["segment", "counts"])
 
     return run
 
 
-def token_rarity(texts: DataFrame, min_words: int, cells: int = RARITY_CELLS):
-    """For each counter the logarithm of how often its tokens stand in lines, as a broadcast byte; and the number of prefix tokens.
+def token_rarity(texts: DataFrame, cells: int = RARITY_CELLS):
+    """For each counter the logarithm of how often its words occur in all texts, as a broadcast byte.
 
-    All lines are counted. Tokens that share a counter count together: the order of rarity may be any for right results.
+    Words that share a counter count together: the order of rarity may be any for right results.
     """
-    parts = texts.select("text").mapInArrow(_counted(min_words, cells), "segment int, counts binary, n_prefix bigint")
+    parts = texts.select("text").mapInArrow(_counted(cells), "segment int, counts binary")
 
     def total(key, table):
         counts = np.zeros(_SEGMENT, np.int64)
         for value in table.column("counts"):
             counts += np.frombuffer(value.as_buffer(), np.uint32)
-        n = sum(table.column("n_prefix").to_pylist())
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "counts": [counts.tobytes()], "n_prefix": [n]})
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "counts": [counts.tobytes()]})
 
-    counts, n_prefix = np.zeros(cells, np.int64), 0
-    for row in parts.groupBy("segment").applyInArrow(total, "segment int, counts binary, n_prefix bigint").toLocalIterator():
+    counts = np.zeros(cells, np.int64)
+    for row in parts.groupBy("segment").applyInArrow(total, "segment int, counts binary").toLocalIterator():
         counts[row.segment * _SEGMENT : (row.segment + 1) * _SEGMENT] = np.frombuffer(row.counts, np.int64)
-        n_prefix += row.n_prefix
     levels = np.clip(np.rint(6 * np.log2(np.maximum(counts, 1))), 0, 255).astype(np.uint8)
-    return texts.sparkSession.sparkContext.broadcast(levels), n_prefix
+    return texts.sparkSession.sparkContext.broadcast(levels)
 
 
-def _posts(min_words: int, percent: int, levels, shared=None, bits: int = 0):
+POST = "token int, key bigint, size int, at int, parity bigint, place bigint, mark bigint, line int"
+
+
+def _posts(wanted, bits: int, hot=None, only_hot: bool = False):
+    """The prefix tokens of classes that are in a bit map, a row each; `hot` tokens apart from the others."""
+
     def run(batches):
         for batch in batches:
-            for words in steps(batch.column(0)):
-                own = _Lines(words, min_words)
-                line, token, place = own.prefixes(levels.value, percent)
-                if shared is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(token)], ["token"])
-                    continue
-                keep = in_map(shared.value, token & (bits - 1))
-                line, token, place = line[keep], token[keep], place[keep]
-                arrays = [token, own.keys[line], own.sizes[line].astype(np.int32), place.astype(np.int32), own.parities()[line]]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["token", "key", "size", "at", "parity"])
+            prefix = batch.column("prefix")
+            tokens, lengths = prefix.flatten().to_numpy(), np.diff(prefix.offsets.to_numpy())
+            row = np.repeat(np.arange(len(batch)), lengths)
+            at = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            keep = in_map(wanted.value, tokens.astype(np.int64) & (bits - 1))
+            if hot is not None:
+                keep &= np.isin(tokens, hot) == only_hot
+            row = row[keep]
+            own = {c: batch.column(c).to_numpy()[row] for c in ("key", "size", "parity", "place", "mark", "line")}
+            columns = {"token": tokens[keep], "key": own["key"], "size": own["size"], "at": at[keep].astype(np.int32)}
+            columns |= {c: own[c] for c in ("parity", "place", "mark", "line")}
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+
+    return run
+
+
+def _matches(one: dict, other: dict, percent: int) -> np.ndarray:
+    """Length, position and parity bounds for pairs of lines that share a token, as in `_may_match`."""
+    m, n, i, j = one["size"], other["size"], one["at"], other["at"]
+    both = m + n
+    reach = np.minimum(i, j) + np.minimum(m - i, n - j)
+    differ = np.bitwise_count((one["parity"] ^ other["parity"]).view(np.uint64))
+    return (
+        (100 * m >= percent * n) & (100 * n >= percent * m) & (reach >= needed_of_both(both, percent))
+        & (differ <= both * (100 - percent) // (100 + percent)) & (one["key"] != other["key"])
+    )
+
+
+def needed_of_both(both, percent: int):
+    return -(-both * percent // (100 + percent))
+
+
+def _earliest(percent: int):
+    """For each line and token of a block the earliest line before it that the bounds allow."""
+
+    def run(table):
+        columns = {c: table.column(c).to_numpy() for c in ("token", "key", "size", "at", "parity", "place", "mark", "line")}
+        order = np.lexsort((columns["line"], columns["mark"], columns["place"], columns["token"]))
+        columns = {c: values[order].astype(np.int64) for c, values in columns.items()}
+        token = columns["token"]
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        rank = np.arange(len(token)) - np.repeat(starts, np.diff(np.r_[starts, len(token)]))
+        best = np.full(len(token), -1)
+        bounds = {c: columns[c] for c in ("size", "at", "parity", "key")}
+        later = np.flatnonzero(rank >= 1)
+        step = 1
+        while len(later):
+            found = _matches({c: v[later] for c, v in bounds.items()}, {c: v[later - step] for c, v in bounds.items()}, percent)
+            best[later[found]] = later[found] - step
+            step += 1
+            later = later[rank[later] >= step]
+        hit = best >= 0
+        pairs = np.unique(np.stack([columns["key"][hit], columns["key"][best[hit]]]), axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
     return run
 
@@ -158,45 +226,59 @@ def _may_match(percent: int) -> Column:
     """Length, position and parity bounds for a later line x and an earlier line y that share a token."""
     one, other, i, j = (F.col(c) for c in ("x.size", "y.size", "x.at", "y.at"))
     overlap = F.ceil((one + other) * percent / (100 + percent))
-    reach = F.least(i, j) + 1 + F.least(one - i, other - j) - 1
+    reach = F.least(i, j) + F.least(one - i, other - j)
     differ = F.floor((one + other) * (100 - percent) / (100 + percent))
     return may_reach(one, other, percent) & (reach >= overlap) & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= differ)
 
 
-def _repeated_keys(texts: DataFrame, firsts: DataFrame, min_words: int, percent: int) -> DataFrame:
+def _sets_of(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
+    keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "lines-keys")
+    bits = filter_bits(keys.count(), 16)
+    wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")).distinct(), bits)
+    sets = texts.select("text").mapInArrow(_kept_sets(min_words, wanted, bits), "key bigint, grams binary")
+    return stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "lines-sets")
+
+
+def _repeated_keys(texts: DataFrame, classes: DataFrame, min_words: int, percent: int, hot_posts: int) -> DataFrame:
     """Classes of equal token sets that are similar to a class whose first line is earlier.
 
-    In each list of classes that share a token, all are held against the earliest first; only classes
-    without a match there go on to all earlier members of the list. Lists with the same members count once.
+    The classes of a token meet in a block of tokens, where each is held against the earliest one that
+    the bounds allow. Only those without a match there go on, to all earlier ones they share a token with. Tokens of more than
+    `hot_posts` classes are no part of a block: their classes are joined by Spark, which splits such tokens.
     """
-    levels, n_prefix = token_rarity(texts, min_words)
-    only = texts.select("text")
-    bits = filter_bits(n_prefix, 8)
-    tokens = only.mapInArrow(_posts(min_words, percent, levels), "token bigint")
-    repeated = tokens.groupBy("token").count().where("count > 1").select(cell(F.col("token"), bits).alias("cell"))
-    shared = bit_map(repeated, bits)
-    schema = "token bigint, key bigint, size int, at int, parity bigint"
-    posts = stored(only.mapInArrow(_posts(min_words, percent, levels, shared, bits), schema).distinct(), "lines-posts")
-    lists = posts.groupBy("token").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("xor")
-    ).where("n > 1").groupBy("n", "sum", "xor").agg(F.min("token").alias("token"))
-    members = stored(posts.join(lists.select("token"), "token", "left_semi").join(firsts, "key"), "lines-members")
-
-    keys = members.select("key").distinct()
-    bits = filter_bits(members.count(), 16)
-    wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")), bits)
-    sets = only.mapInArrow(_kept_sets(min_words, wanted, bits), "key bigint, grams binary")
-    sets = stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "lines-sets")
-
-    row = F.struct("first", "key", "size", "at", "parity")
-    earliest = members.groupBy("token").agg(F.min(row).alias("y")).select("token", "y.*")
+    spark = texts.sparkSession
+    counts = stored(classes.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1"), "lines-tokens")
+    n_posts = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    bits = filter_bits(counts.count(), 16)
+    shared = bit_map(counts.select(cell(F.col("token").cast("bigint"), bits).alias("cell")).distinct(), bits)
+    # At most one token for `hot_posts` posts.
+    hot = np.array([row.token for row in counts.where(F.col("count") > hot_posts).select("token").toLocalIterator()], np.int32)
+
+    n_blocks = max(1, n_posts // POSTS_PER_BLOCK, spark.sparkContext.defaultParallelism)
+    posts = classes.mapInArrow(_posts(shared, bits, hot), POST).withColumn("block", F.pmod(F.xxhash64("token"), F.lit(n_blocks)))
+    candidates = posts.groupBy("block").applyInArrow(_earliest(percent), "a bigint, b bigint")
+    earlier = F.struct("y.place", "y.mark", "y.line") < F.struct("x.place", "x.mark", "x.line")
     pair = [F.col("x.key").alias("a"), F.col("y.key").alias("b")]
-    later = (F.col("x.token") == F.col("y.token")) & (F.col("x.first") > F.col("y.first")) & _may_match(percent)
-    first = verified(members.alias("x").join(earliest.alias("y"), later).select(*pair).distinct(), sets, percent)
+    meets = (F.col("x.token") == F.col("y.token")) & earlier & _may_match(percent)
+    if len(hot):
+        busy = classes.mapInArrow(_posts(shared, bits, hot, only_hot=True), POST)
+        first_of_token = busy.groupBy("token").agg(F.min(F.struct("place", "mark", "line", "key", "size", "at", "parity")).alias("y"))
+        candidates = candidates.unionByName(
+            busy.alias("x").join(first_of_token.select("token", "y.*").alias("y"), meets).select(*pair)
+        ).unionByName(busy.select(F.col("key").alias("a"), F.lit(None).cast("bigint").alias("b")))
+    candidates = stored(candidates.distinct(), "lines-candidates")
+    pairs = candidates.where("b is not null")
+    first = verified(pairs, _sets_of(pairs, texts, min_words), percent)
     matched = first.where("linked").select(F.col("a").alias("key")).distinct()
-    unmatched = members.join(matched, "key", "left_anti")
-    rest = unmatched.alias("x").join(members.alias("y"), later).select(*pair).distinct().join(first, ["a", "b"], "left_anti")
-    second = verified(rest, sets, percent)
+
+    unmatched = stored(candidates.select(F.col("a").alias("key")).distinct().join(matched, "key", "left_anti"), "lines-unmatched")
+    tokens = classes.join(unmatched, "key", "left_semi").select(F.explode("prefix").alias("token"))
+    bits = filter_bits(unmatched.count() * 16, 16)
+    wanted = bit_map(tokens.select(cell(F.col("token").cast("bigint"), bits).alias("cell")).distinct(), bits)
+    posts = stored(classes.mapInArrow(_posts(wanted, bits), POST), "lines-rest")
+    rest = posts.join(unmatched, "key", "left_semi").alias("x").join(posts.alias("y"), meets).select(*pair).distinct()
+    rest = stored(rest.join(first, ["a", "b"], "left_anti"), "lines-second")
+    second = verified(rest, _sets_of(rest, texts, min_words), percent)
     return matched.unionByName(second.where("linked").select(F.col("a").alias("key")).distinct())
 
 
@@ -220,7 +302,8 @@ def _cut(batches):
 
 
 def repeated_lines(
-    df: DataFrame, percent: int = SIMILARITY_PERCENT, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text"
+    df: DataFrame, percent: int = SIMILARITY_PERCENT, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text",
+    hot_posts: int = HOT_POSTS,
 ) -> DataFrame:
     """`doc_id, n_lines, n_removed, kept_sha256, kept_text`, one row for each row of `df`.
 
@@ -230,19 +313,40 @@ def repeated_lines(
     fare alike. Null ids are the last. Null and empty texts have one empty line; an empty table gives no
     rows; other columns are ignored.
     """
+    spark = df.sparkSession
     place = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST))
     texts = df.select(place.alias("place"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
-    lines = stored(texts.mapInArrow(_line_table(min_words), "place bigint, mark bigint, line int, key bigint"), "lines-told")
+    told = stored(texts.mapInArrow(_line_rows(min_words, percent, token_rarity(texts)), LINE_ROW), "lines-told")
     own = F.struct("place", "mark", "line")
-    firsts = stored(lines.groupBy("key").agg(F.min(own).alias("first")), "lines-firsts")
-    matched = stored(_repeated_keys(texts, firsts, min_words, percent), "lines-matched").withColumn("matched", F.lit(True))
+    of_class = [F.any_value(c).alias(c) for c in ("size", "parity", "prefix")]
+    classes = stored(told.groupBy("key").agg(F.min(own).alias("first"), *of_class).select("key", "size", "parity", "prefix", "first.*"), "lines-classes")
+    lines = stored(told.select("place", "mark", "line", "key"), "lines-places")
+    remove_folder(spark, told.inputFiles()[0].rpartition("/")[0]) if not told.isEmpty() else None
+    matched = stored(_repeated_keys(texts, classes, min_words, percent, hot_posts), "lines-matched").withColumn("matched", F.lit(True))
+    firsts = classes.select("key", own.alias("first"))
     gone = (
         lines.join(firsts, "key").join(matched, "key", "left").where((own != F.col("first")) | F.col("matched"))
         .groupBy("place", "mark").agg(F.collect_set("line").alias("gone"))
     )
+    gone = stored(gone, "lines-gone")
+
+    # Texts that lose no line stay where they are; a bit map of bounded size tells most of them.
+    told_by = F.xxhash64("place", "mark")
+    bits = filter_bits(gone.count(), 16)
+    places = bit_map(gone.select(cell(told_by, bits).alias("cell")).distinct(), bits)
+
+    @F.pandas_udf("boolean")
+    def touched(cells: pd.Series) -> pd.Series:
+        return pd.Series(in_map(places.value, cells.to_numpy()))
+
+    every = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), place.alias("place"), F.xxhash64(text).alias("mark"))
+    every = every.withColumn("touched", touched(cell(told_by, bits)))
+    unharmed = every.where("not touched").select(
+        "doc_id", F.size(F.split(whole("text"), "\n", -1)).cast("bigint").alias("n_lines"), F.lit(0).cast("bigint").alias("n_removed"),
+        F.sha2(whole("text"), 256).alias("kept_sha256"), whole("text").alias("kept_text"),
+    )
     kind = df.schema[doc_id].dataType.simpleString()
-    return (
-        df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), place.alias("place"), F.xxhash64(text).alias("mark"))
-        .join(gone, ["place", "mark"], "left").select("doc_id", "text", "gone")
-        .mapInArrow(_cut, f"doc_id {kind}, n_lines bigint, n_removed bigint, kept_sha256 string, kept_text string")
+    cut = every.where("touched").join(gone, ["place", "mark"], "left").select("doc_id", "text", "gone").mapInArrow(
+        _cut, f"doc_id {kind}, n_lines bigint, n_removed bigint, kept_sha256 string, kept_text string"
     )
+    return unharmed.unionByName(cut)
