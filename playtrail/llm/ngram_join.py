@@ -17,7 +17,13 @@ SIMILARITY_PERCENT = 80
 # Counters of how often columns occur; each is one byte when broadcast.
 MAX_RARITY_CELLS = 1 << 25
 _SEGMENT = 1 << 14
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FILTER_BITS_PER_COLUMN = 8
+# Blocks of the product: classes on a side, and rows that meet in a task.
+CLASSES_PER_CHUNK = 2048
+ROWS_PER_BLOCK = 200_000
+# Pairs that are verified at a time: two sets each.
+PAIRS_PER_BATCH = 500
 _VALUES = byte_values(6)
 
 
@@ -186,7 +192,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("key").alias("a"), F.col("grams").alias("left_grams"))
     right = sets.select(F.col("key").alias("b"), F.col("grams").alias("right_grams"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left_grams", "right_grams")
-    return stored(rows.mapInArrow(_overlaps(percent), "a bigint, b bigint, linked boolean"), "ngram-pairs")
+    conf = pairs.sparkSession.conf
+    before = conf.get(_BATCH)
+    conf.set(_BATCH, str(PAIRS_PER_BATCH))
+    try:
+        return stored(rows.mapInArrow(_overlaps(percent), "a bigint, b bigint, linked boolean"), "ngram-pairs")
+    finally:
+        conf.set(_BATCH, before)
 
 
 def may_reach(one: Column, other: Column, percent: int) -> Column:
@@ -221,11 +233,12 @@ def _least_common(one: Column, other: Column, percent: int) -> Column:
 def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_columns: int) -> DataFrame:
     """Links `(a, b)` between classes of equal sets that connect exactly the classes that similarity connects.
 
-    The product runs over the columns of prefixes, a fifth of all. Each column's classes are multiplied with the column's
-    least class first; sums that are large enough are verified on whole sets and joined to components,
-    which gathers large groups of near copies without all their pairs. Then the entries
-    of different components follow, all of them; those whose sum stays below the bound from the two
-    sizes go, the rest is verified. Columns with the same classes are multiplied once, with their number as weight.
+    The product runs over the columns of prefixes, a fifth of all. First each column's classes are
+    multiplied with the column's leader only; sums that are large enough are verified on whole sets and
+    joined to components, which gathers large groups of near copies without all their pairs. Then the
+    entries of different components follow, all of them, block by block; those whose sum stays below the bound from
+    the two sizes go, the rest is verified. Columns with the same classes are multiplied once, with
+    their number as weight.
     """
     levels = rarity_levels(texts, n, rarity_cells(n_entries))
     columns = texts.mapInArrow(_prefixes(n, percent, levels), "column bigint")
@@ -237,36 +250,101 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_co
 
     lists = posts.groupBy("column").agg(
         F.count("*").alias("n"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("xor"),
-        F.min(F.struct("key", "size")).alias("least"),
     ).where("n > 1")
-    lists = lists.groupBy("n", "sum", "xor").agg(F.min("column").alias("column"), F.first("least").alias("least"), F.count("*").alias("weight"))
-    members = stored(posts.join(lists.select("column", "least", "weight"), "column"), "ngram-members")
-
-    size, least_size = F.col("size"), F.col("least.size")
-    against_least = (
-        members.where(F.col("key") != F.col("least.key")).where(may_reach(size, least_size, percent))
-        .groupBy(*_ordered(F.col("key"), F.col("least.key")), F.ceil(_least_common(size, least_size, percent) / 2).alias("enough"))
-        .agg(F.sum("weight").alias("together")).where("together >= enough").select("a", "b")
-    )
-    against_least = stored(against_least, "ngram-first")
-    first = verified(against_least, _sets_of(against_least, texts, n), percent)
+    lists = lists.groupBy("n", "sum", "xor").agg(F.min("column").alias("column"), F.count("*").alias("weight"))
+    members = posts.join(lists.select("column", "weight"), "column")
+    # The class with the most columns leads each of its columns, so that a group of near copies meets around a few of them.
+    degree = members.groupBy("key").agg(F.sum("weight").alias("degree"))
+    members = stored(members.join(degree, "key"), "ngram-members")
+
+    pairs = stored(_against_leaders(members, percent), "ngram-candidates")
+    first = verified(pairs, _sets_of(pairs, texts, n), percent)
     joined = components(first.where("linked"))
-    placed = members.select("column", "weight", "key", "size").join(joined.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "key"))
-    open_columns = placed.groupBy("column").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    placed = stored(placed.join(open_columns.select("column"), "column", "left_semi"), "ngram-open")
-    one, other = (placed.select("column", *(F.col(c).alias(c + mark) for c in ("weight", "key", "size", "component"))) for mark in "12")
-    rest = (
-        one.join(other, "column").where("component1 < component2").where(may_reach(F.col("size1"), F.col("size2"), percent))
-        .groupBy(*_ordered(F.col("key1"), F.col("key2")), _least_common(F.col("size1"), F.col("size2"), percent).alias("enough"))
-        .agg(F.sum("weight1").alias("together")).where("together >= enough")
-        .select("a", "b").join(first, ["a", "b"], "left_anti")
-    )
-    rest = stored(rest, "ngram-second")
+    rest = _products(_open(members, joined), percent).distinct().join(first, ["a", "b"], "left_anti")
+    rest = stored(rest, "ngram-rest")
     second = verified(rest, _sets_of(rest, texts, n), percent)
     return first.where("linked").unionByName(second.where("linked")).select("a", "b")
 
 
+def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members with their component, of the columns that more than one component has, and with the column's hub.
+
+    A column's hub is the component that has most of it; `hubs` is the number of hubs that a class has columns of.
+    """
+    placed = members.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    sizes = placed.groupBy("column", "component").agg(F.count("*").alias("n"))
+    hubs = sizes.groupBy("column").agg(F.max(F.struct("n", "component")).alias("hub"), F.count("*").alias("several")).where("several > 1")
+    placed = stored(placed.join(hubs.select("column", F.col("hub.component").alias("hub")), "column"), "ngram-open")
+    return placed.join(placed.groupBy("key").agg(F.count_distinct("hub").alias("hubs")), "key")
+
+
+def _products(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in different components whose common columns can reach the bound.
+
+    The matrix is cut into blocks: columns by their hub, classes of a hub into chunks, so that a block is a product of
+    two chunks and a group of any size spreads over tasks. A pair's columns may lie with several
+    hubs; then one of them has at least their share of the bound, and a block keeps the pairs that reach such a share.
+    """
+    chunks = members.groupBy("hub").agg(F.ceil(F.approx_count_distinct("key") / CLASSES_PER_CHUNK).cast("int").alias("chunks"))
+    rows = members.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(2)), F.col("chunks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    rows = rows.select("hub", "column", "weight", "key", "size", "component", "hubs", "chunk", other.alias("other"))
+    rows = rows.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
+    n_blocks = max(members.sparkSession.sparkContext.defaultParallelism, members.count() // ROWS_PER_BLOCK)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("hub", "low", "high"), F.lit(n_blocks)))
+
+    def product(table):
+        columns = {c: table.column(c).to_numpy() for c in ("hub", "low", "high", "column", "weight", "key", "size", "component", "hubs", "chunk")}
+        order = np.lexsort((columns["column"], columns["high"], columns["low"], columns["hub"]))
+        columns = {c: v[order] for c, v in columns.items()}
+        new_block = np.flatnonzero(np.r_[True, np.any([np.diff(columns[c]) != 0 for c in ("hub", "low", "high")], axis=0), True])
+        found = [np.zeros((2, 0), np.int64)]
+        for a, b in zip(new_block[:-1], new_block[1:], strict=True):
+            found.append(_block_pairs({c: v[a:b] for c, v in columns.items()}, percent))
+        both = np.concatenate(found, axis=1)
+        return pa.table({"a": both.min(axis=0), "b": both.max(axis=0)})
+
+    return rows.groupBy("block").applyInArrow(product, "a bigint, b bigint")
+
+
+def _block_pairs(rows: dict, percent: int) -> np.ndarray:
+    """The entries of one block that are large enough, as two rows of keys."""
+    keys, first, place = np.unique(rows["key"], return_index=True, return_inverse=True)
+    own = {c: rows[c][first].astype(np.int64) for c in ("size", "component", "hubs", "chunk")}
+    low, high = rows["low"][0], rows["high"][0]
+    left, right = (np.flatnonzero(own["chunk"] == side) for side in (low, high))
+    at = np.zeros(len(keys), np.int64)
+    at[left] = np.arange(len(left))
+    at_right = np.zeros(len(keys), np.int64)
+    at_right[right] = np.arange(len(right))
+    sums = np.zeros((len(left), len(right)), np.int32)
+    cuts = np.flatnonzero(np.r_[True, np.diff(rows["column"]) != 0, True])
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        here, chunk = place[a:b], rows["chunk"][a:b]
+        sums[np.ix_(at[here[chunk == low]], at_right[here[chunk == high]])] += np.int32(rows["weight"][a])
+    i, j = np.nonzero(sums)
+    together = sums[i, j].astype(np.int64)
+    i, j = left[i], right[j]
+    one, other = own["size"][i], own["size"][j]
+    enough = np.maximum(-(-(one + other) * percent // (100 + percent)) - np.maximum(needed(one, percent), needed(other, percent)) + 1, 1)
+    keep = (
+        (together * np.minimum(own["hubs"][i], own["hubs"][j]) >= enough) & (own["component"][i] != own["component"][j])
+        & (100 * one >= percent * other) & (100 * other >= percent * one)
+    )
+    return np.stack([keys[i[keep]], keys[j[keep]]])
+
+
+def _against_leaders(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a column's leader with its other classes, if their columns add up to half the bound."""
+    leaders = members.groupBy("column").agg(F.max(F.struct("degree", "key", "size")).alias("leader"))
+    size, leader_size = F.col("size"), F.col("leader.size")
+    return (
+        members.join(leaders, "column").where(F.col("key") != F.col("leader.key")).where(may_reach(size, leader_size, percent))
+        .groupBy(*_ordered(F.col("key"), F.col("leader.key")), _least_common(size, leader_size, percent).alias("enough"))
+        .agg(F.sum("weight").alias("together")).where("2 * together >= enough").select("a", "b").distinct()
+    )
+
+
 def _grouped(df: DataFrame, n: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """Per row of `df` its id, a hash of its text, the size and key of its set, its group (a key) and the group's least id."""
     texts = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
