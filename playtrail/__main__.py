@@ -10,6 +10,7 @@ from playtrail.sources import read_kafka, read_topic_files
 
 def _arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="playtrail")
+    parser.add_argument("--zone", default="UTC", help="time zone of the session")
     commands = parser.add_subparsers(dest="command", required=True)
 
     batch = commands.add_parser("batch", help="store a browse log and write its four reports")
@@ -35,10 +36,7 @@ def _arguments(argv: list[str] | None = None) -> argparse.Namespace:
     live.add_argument("--checkpoints", required=True)
     live.add_argument("--grain", choices=["day", "hour", "minute"], default="day")
     live.add_argument("--pooled", action="store_true", help="add up equal hours or minutes of all days")
-    live.add_argument("--late", default="1 minute", help="how late events may come for sliding windows")
-    live.add_argument("--forget", help="drop totals from the state when events have moved on by so much")
     live.add_argument("--every", default="5 seconds", help="micro-batch interval")
-    live.add_argument("--state-partitions", type=int, help="tasks that share the totals")
     live.add_argument("--once", action="store_true", help="stop when everything there is has been read")
     return parser.parse_args(argv)
 
@@ -46,6 +44,8 @@ def _arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.appName(f"playtrail {args.command}").getOrCreate()
+    # Log times have no zone; one with daylight saving would move some of them.
+    spark.conf.set("spark.sql.session.timeZone", args.zone)
     if args.command == "batch":
         run_batch(
             spark, args.source, args.clean, spark.read.parquet(args.ranges), args.month,
@@ -58,17 +58,10 @@ def main(argv: list[str] | None = None) -> None:
         messages = read_kafka(
             spark, brokers=args.brokers, topics=[args.downloads, args.payments], group_id=args.group
         )
-    queries = start_live(
+    start_live(
         messages, spark.read.parquet(args.blocked), args.out, args.checkpoints, args.downloads, args.payments,
-        args.grain, args.pooled, args.late, args.forget, args.every, args.once,
-        state_partitions=args.state_partitions,
-    )
-    while spark.streams.active:
-        spark.streams.awaitAnyTermination()  # raises if a query has failed
-        spark.streams.resetTerminated()
-    failed = [name for name, query in queries.items() if query.exception()]
-    if failed:
-        raise RuntimeError(f"failed: {', '.join(failed)}")
+        args.grain, args.pooled, args.every, args.once,
+    ).awaitTermination()  # raises if the query fails
 
 
 if __name__ == "__main__":

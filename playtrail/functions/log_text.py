@@ -7,7 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # From the first `[`, if there is one, to the last `]`; what follows the seconds is ignored.
-_BRACKETED_TIME = r"^(?:[^\[]*\[)?(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}).*\]"
+# Parts of the time may have one digit.
+_BRACKETED_TIME = r"^(?:[^\[]*\[)?(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}).*\]"
 _WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from playtrail.functions import ipv4_number
 
 # Rough size of one range in a broadcast hash table, without the city's own bytes.
+_LAST_ADDRESS = 2**32 - 1
 _ROW_OVERHEAD_BYTES = 96
 _NOWHERE_BUCKETS = 65536
 
@@ -37,9 +38,12 @@ def measure_ranges(
 ) -> CityRanges:
     """Cut the ranges into buckets, check that they are sound and measure them.
 
-    One small job over the range table: overlapping, reversed or open ranges raise ValueError, and
+    Small jobs over the range table: ends that are no addresses, overlapping, reversed or open ranges raise ValueError, and
     the size decides later whether the table may be broadcast.
     """
+    outside = (F.col("ip_lo") < 0) | (F.col("ip_hi") > _LAST_ADDRESS)
+    if ranges.select(F.coalesce(F.bool_or(outside), F.lit(False))).first()[0]:
+        raise ValueError("the range table holds ends outside 0 to 2^32 - 1")
     pieces = ranges.select(
         F.explode_outer(
             F.sequence(F.shiftright("ip_lo", bucket_bits), F.shiftright("ip_hi", bucket_bits))

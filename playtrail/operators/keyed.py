@@ -41,8 +41,16 @@ def to_cells(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def from_cells(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Put cells of text back together into browse rows, in one shuffle on the row key."""
+    """Put cells of text back together into browse rows, in one shuffle on the row key.
+
+    A key with two cells of one column stands for two rows, which can't be told apart any more: an error.
+    """
     columns = columns or BROWSE_COLUMNS
-    values = [F.max(F.when(F.col("qualifier") == c, F.col("value"))).alias(c) for c in columns]
-    rows = cells.groupBy("row_key").agg(*values)
+    own = {c: F.col("qualifier") == c for c in columns}
+    values = [F.max(F.when(is_own, F.col("value"))).alias(c) for c, is_own in own.items()]
+    most = F.greatest(F.lit(0), *[F.count_if(is_own) for is_own in own.values()]).alias("_cells")
+    rows = cells.groupBy("row_key").agg(*values, most)
+    message = F.concat(F.lit("several cells of one column under the key "), F.col("row_key"))
+    alone = F.when(F.col("_cells") <= 1, True).otherwise(F.raise_error(message).cast("boolean"))
+    rows = rows.filter(alone).drop("_cells")
     return rows.withColumn("gameId", F.col("gameId").try_cast("int")) if "gameId" in columns else rows

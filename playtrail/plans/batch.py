@@ -1,6 +1,7 @@
 """The whole batch run: raw text, clean table, four reports, result tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playtrail.operators import (
     measure_ranges,
@@ -10,7 +11,8 @@ from playtrail.operators import (
     visits_by_hour,
 )
 from playtrail.operators.keyed import BROWSE_KEY
-from playtrail.sinks import clean_log, write_keyed_table, write_stat, write_stat_jdbc
+from playtrail.scratch import new_folder, remove_folder
+from playtrail.sinks import STAT_TABLES, clean_log, read_stat, report_rows, write_keyed_table, write_stat, write_stat_jdbc
 from playtrail.sources import read_clean_log, read_keyed_table
 
 
@@ -33,7 +35,7 @@ def run_batch(
 
     With `keyed_path` the reports count the newest row per (minute, address, game) of a keyed table
     instead of every logged visit. The two answer different questions, so neither is the default
-    behind the other's back.
+    behind the other's back. Returns the reports as they are stored, or lazily where nothing is stored.
     """
     clean_log(spark, source, clean_path, rebalance)
     log = read_clean_log(spark, clean_path)
@@ -41,9 +43,20 @@ def run_batch(
         write_keyed_table(log.drop("year", "month"), keyed_path, BROWSE_KEY, ["event_time"])
         log = read_keyed_table(spark, keyed_path)
     reports = browse_reports(log, ranges, month, n)
+    if stat_root is None and jdbc_url is None:
+        return reports
+    # Each report is computed once, into the Parquet tables; the database is filled from these.
+    root = stat_root or new_folder(spark, "stat")
+    found = {}
     for report, rows in reports.items():
-        if stat_root is not None:
-            write_stat(rows, report, stat_root)
+        covered = month if STAT_TABLES[report].slice_column else None
+        write_stat(rows, report, root, covered)
+        found[report] = report_rows(read_stat(spark, report, root), report)
+        if covered is not None:
+            found[report] = found[report].filter(F.col("month") == covered)
         if jdbc_url is not None:
-            write_stat_jdbc(rows, report, jdbc_url, jdbc_properties)
+            write_stat_jdbc(found[report], report, jdbc_url, jdbc_properties, covered=covered)
+    if stat_root is not None:
+        return found
+    remove_folder(spark, root)
     return reports

@@ -1,13 +1,12 @@
 """The whole streaming run: every running figure of the two message topics at once."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playtrail.streaming import (
-    append_rows,
+    add_sums,
     exclude_users,
-    keep_daily,
-    keep_snapshot,
     parse_downloads,
     parse_payments,
     rejected_messages,
@@ -16,45 +15,67 @@ from playtrail.streaming import (
     sliding_downloads,
     sliding_payments,
 )
+from playtrail.streaming.tables import MICRO_BATCH, start_batches
+
+WINDOW_KEYS = ("window_start", "window_end")
+# The tables of a run: rows as they come, and totals.
+ROW_TABLES = (
+    "downloads_not_blocked", "payments_not_blocked", "downloads_rejected", "payments_rejected",
+)
+TOTAL_TABLES = (
+    "downloads", "payments", "downloads_not_blocked_totals", "payments_not_blocked_totals",
+    "downloads_sliding", "payments_sliding",
+)
 
 
 def start_live(
     messages: DataFrame, blocked: DataFrame, root: str, checkpoints: str,
     download_topic: str, payment_topic: str, grain: str = "day", pooled: bool = False,
-    late: str = "1 minute", forget: str | None = None, every: str = "5 seconds",
-    available_now: bool = False, salt: int = 8, state_partitions: int | None = None,
-) -> dict[str, StreamingQuery]:
-    """Start one query per output, each with its own table below `root` and its own checkpoint.
-
-    Totals are kept for good, as snapshots (`read_snapshot`). With `forget` (such as "2 days"), buckets
-    drop out of the state when events have moved on by that much, and totals are daily tables
-    (`read_daily`). Sliding windows, filtered events and rejected messages are appended; a window
-    appears when events have moved on by `late`. `state_partitions` goes to the queries that shuffle
-    nothing but sums; where a blocklist may be shuffled, the session decides.
+    every: str = MICRO_BATCH, available_now: bool = False, salt: int = 8,
+) -> StreamingQuery:
+    """Start the one query that fills every table below `root`.
+
+    A batch is read and parsed once, and filtered by the blocklist once. Its rows go to folders of
+    their own (`read_rows`); its sums are added to tables of totals and of sliding windows, of which
+    only the days that it touches are written again (`read_daily`). The query has no state: an event
+    counts however late it comes, and every window is there when the run ends. A repeated batch changes nothing.
     """
-    downloads = parse_downloads(messages, download_topic)
-    payments = parse_payments(messages, payment_topic)
-    open_downloads = exclude_users(downloads, blocked, salt)
-    open_payments = exclude_users(payments, blocked, salt)
-    totals = {
-        "downloads": running_downloads(downloads, grain, pooled, forget),
-        "payments": running_payments(payments, grain, pooled, forget),
-        "downloads_not_blocked_totals": running_downloads(open_downloads, grain, pooled, forget),
-        "payments_not_blocked_totals": running_payments(open_payments, grain, pooled, forget),
-    }
-    appended = {
-        "downloads_sliding": sliding_downloads(downloads, watermark=late),
-        "payments_sliding": sliding_payments(payments, watermark=late),
-        "downloads_not_blocked": open_downloads,
-        "payments_not_blocked": open_payments,
-        "downloads_rejected": rejected_messages(messages, download_topic),
-        "payments_rejected": rejected_messages(messages, payment_topic, payment=True),
-    }
-    keep_totals = keep_snapshot if forget is None else keep_daily
-    started = {}
-    for start, outputs in ((keep_totals, totals), (append_rows, appended)):
-        for name, rows in outputs.items():
-            partitions = None if "not_blocked" in name else state_partitions
-            paths = f"{root}/{name}", f"{checkpoints}/{name}"
-            started[name] = start(rows, *paths, every, available_now, partitions)
-    return started
+    by_window = {"keys": WINDOW_KEYS, "day": F.date_format("window_start", "yyyyMMdd")}
+    # Pooled buckets belong to no day; there are never more than 1440 of them.
+    by_bucket: dict[str, Column] = {"day": F.lit("pooled")} if pooled else {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.persist()
+        try:
+            kinds = (
+                ("downloads", parse_downloads, download_topic, running_downloads, sliding_downloads),
+                ("payments", parse_payments, payment_topic, running_payments, sliding_payments),
+            )
+            for name, parse, topic, running, sliding in kinds:
+                events = parse(kept, topic).persist()
+                try:
+                    add_sums(running(events, grain, pooled), batch_id, f"{root}/{name}", **by_bucket)
+                    add_sums(sliding(events), batch_id, f"{root}/{name}_sliding", **by_window)
+                    rows = f"{root}/{name}_not_blocked"
+                    put_rows(exclude_users(events, blocked, salt), batch_id, rows)
+                finally:
+                    events.unpersist()
+                open_events = spark.read.schema(events.schema).parquet(f"{rows}/batch={batch_id}")
+                add_sums(running(open_events, grain, pooled), batch_id, f"{rows}_totals", **by_bucket)
+            put_rows(rejected_messages(kept, download_topic), batch_id, f"{root}/downloads_rejected")
+            put_rows(rejected_messages(kept, payment_topic, payment=True), batch_id, f"{root}/payments_rejected")
+        finally:
+            kept.unpersist()
+
+    return start_batches(messages, write, checkpoints, every, available_now)
+
+
+def put_rows(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Write the rows of a batch to a folder of its own; a repeated batch replaces it."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def read_rows(spark, path: str) -> DataFrame:
+    """The rows of all batches that a run has put there."""
+    return spark.read.parquet(path).drop("batch")

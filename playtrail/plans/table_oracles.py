@@ -116,7 +116,7 @@ ROW_KEY = f"date || '_' || ({CRC32})::VARCHAR"
 
 CELL_COLUMNS = ["ip", "date", "androidVersion", "phoneModel", "gameName", "gameId"]
 
-KEYED = f"keyed AS (SELECT *, {ROW_KEY} AS row_key FROM newest)"
+KEYED = f"keyed AS (SELECT *, {ROW_KEY} || '_' || ip || '_' || \"gameId\" AS row_key FROM newest)"
 
 CELLS = _with(BROWSE, DAILY, KEYED) + " UNION ALL ".join(
     f"SELECT row_key, '{c}' AS qualifier, CAST(\"{c}\" AS VARCHAR) AS value FROM keyed" for c in CELL_COLUMNS
@@ -214,6 +214,10 @@ LIVE = " UNION ALL ".join(
             "payments_not_blocked_totals", "sum(orders)",
             _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),
         ),
+        ("downloads_sliding", "sum(downloads)", _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT)),
+        ("payments_sliding", "sum(orders)", _sliding(PAYMENTS, "p", PAYMENT_SUMS)),
+        ("downloads_rejected", "count(*)", "SELECT 1 FROM events WHERE FALSE"),
+        ("payments_rejected", "count(*)", "SELECT 1 FROM events WHERE FALSE"),
         ("downloads_not_blocked", "count(*)", DOWNLOADS_NOT_BLOCKED),
         ("payments_not_blocked", "count(*)", PAYMENTS_NOT_BLOCKED),
     )
@@ -250,7 +254,9 @@ def table_oracles() -> dict[str, str]:
         "stat_sink_city": STAT_CITY,
         "stat_sink_phone": STAT_PHONE,
         "stat_sink_hour": BY_HOUR,
+        "stat_sink_empty_month": f"SELECT * FROM ({STAT_MONTH}) WHERE FALSE",
         "batch_reports": BATCH,
+        "downloads_by_hour_daily": _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, "hour"),
         "payments_by_minute_daily": _totals([PAYMENTS], "p", PAYMENT_SUMS, "minute"),
         "downloads_sliding": _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT),
         "payments_sliding": _sliding(PAYMENTS, "p", PAYMENT_SUMS),

@@ -23,7 +23,7 @@ from playtrail.operators import (
 )
 from playtrail.operators.keyed import BROWSE_KEY, latest_per_key
 from playtrail.plans.batch import run_batch
-from playtrail.plans.live import start_live
+from playtrail.plans.live import ROW_TABLES, TOTAL_TABLES, WINDOW_KEYS, read_rows, start_live
 from playtrail.plans.table_views import (
     DOWNLOADS,
     PAYMENTS,
@@ -60,6 +60,7 @@ from playtrail.streaming import (
     exclude_users,
     keep_daily,
     keep_snapshot,
+    keep_sums,
     parse_downloads,
     parse_payments,
     read_daily,
@@ -182,7 +183,7 @@ def keyed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "cells")
     newest = latest_per_key(daily_view(spark, sf_dir), BROWSE_KEY, ["event_id"])
-    write_cells(with_row_key(newest), path)
+    write_cells(with_row_key(newest, exact=True), path)
     return read_cells(spark, path)
 
 
@@ -259,6 +260,23 @@ def _payments_by(grain: str, pooled: bool, spark: SparkSession, sf_dir: str) ->
     return _snapshot_of(running_payments(_payments(spark, sf_dir), grain, pooled), "payments")
 
 
+def _kept_sums(events: DataFrame, total: Callable, label: str, **settings) -> DataFrame:
+    """Totals that each batch adds to, of which it writes only the days it changes."""
+    spark = events.sparkSession
+    path, checkpoint = new_folder(spark, label), new_folder(spark, f"{label}-checkpoint")
+    keep_sums(events, total, path, checkpoint, available_now=True, **settings).awaitTermination()
+    return _plain_times(read_daily(spark, path))
+
+
+def _by_window() -> dict:
+    return {"keys": WINDOW_KEYS, "day": F.date_format("window_start", "yyyyMMdd")}
+
+
+def downloads_by_hour_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    total = partial(running_downloads, grain="hour")
+    return _kept_sums(_downloads(spark, sf_dir), total, "downloads-sums")
+
+
 def payments_by_minute_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals behind a watermark, of which each batch writes only the days it changes."""
     totals = running_payments(_payments(spark, sf_dir), "minute", watermark=WHOLE_SPAN)
@@ -266,11 +284,11 @@ def payments_by_minute_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def downloads_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshot_of(sliding_downloads(_downloads(spark, sf_dir)), "downloads-sliding")
+    return _kept_sums(_downloads(spark, sf_dir), sliding_downloads, "downloads-sliding", **_by_window())
 
 
 def payments_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshot_of(sliding_payments(_payments(spark, sf_dir)), "payments-sliding")
+    return _kept_sums(_payments(spark, sf_dir), sliding_payments, "payments-sliding", **_by_window())
 
 
 def downloads_not_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,28 +320,27 @@ def live_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole streaming run, summed up: rows and events of its tables."""
     root, checkpoints = new_folder(spark, "live"), new_folder(spark, "live-checkpoints")
     messages, blocked = _stream_of(topic_messages(spark, sf_dir)), _blocked_table(spark, sf_dir)
-    started = start_live(
-        messages, blocked, root, checkpoints, DOWNLOADS, PAYMENTS, available_now=True,
-        state_partitions=TOTALS_PARTITIONS,
-    )
-    for query in started.values():
-        query.awaitTermination()
-    totals = {
-        "downloads": "downloads",
-        "payments": "orders",
-        "downloads_not_blocked_totals": "downloads",
-        "payments_not_blocked_totals": "orders",
-    }
-    counted = {name: (read_snapshot(spark, f"{root}/{name}"), F.sum(c)) for name, c in totals.items()}
-    for name in ("downloads_not_blocked", "payments_not_blocked"):
-        counted[name] = (spark.read.parquet(f"{root}/{name}"), F.count("*"))
+    start_live(messages, blocked, root, checkpoints, DOWNLOADS, PAYMENTS, available_now=True).awaitTermination()
+    found = {name: (read_rows(spark, f"{root}/{name}"), F.count("*")) for name in ROW_TABLES}
+    for name in TOTAL_TABLES:
+        rows = read_daily(spark, f"{root}/{name}")
+        found[name] = rows, F.sum("downloads" if "downloads" in rows.columns else "orders")
     summaries = [
         rows.agg(F.lit(name).alias("output"), F.count("*").alias("result_rows"), events.alias("events"))
-        for name, (rows, events) in counted.items()
+        for name, (rows, events) in found.items()
     ]
     return reduce(DataFrame.unionByName, summaries)
 
 
+def stat_sink_empty_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month table after its month was filled and then written again without rows."""
+    root = new_folder(spark, "stat")
+    report = _by_month(None, False, spark, sf_dir)
+    write_stat(report, "by_month", root, MONTH)
+    write_stat(report.filter(F.col("times") < 0), "by_month", root, MONTH)
+    return read_stat(spark, "by_month", root)
+
+
 def _plain_times(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the given tables have them."""
     times = [name for name, kind in df.dtypes if kind == "timestamp"]
@@ -357,6 +374,7 @@ def table_queries() -> dict[str, Query]:
         "stat_sink_city": partial(_stat_sink, "by_city"),
         "stat_sink_phone": partial(_stat_sink, "by_phone_model"),
         "stat_sink_hour": partial(_stat_sink, "by_hour"),
+        "stat_sink_empty_month": stat_sink_empty_month,
         "batch_reports": batch_reports,
     }
     for grain, pooled in (("day", False), ("hour", False), ("minute", False), ("hour", True), ("minute", True)):
@@ -364,6 +382,7 @@ def table_queries() -> dict[str, Query]:
         found[f"downloads_by_{suffix}"] = partial(_downloads_by, grain, pooled)
         found[f"payments_by_{suffix}"] = partial(_payments_by, grain, pooled)
     found |= {
+        "downloads_by_hour_daily": downloads_by_hour_daily,
         "payments_by_minute_daily": payments_by_minute_daily,
         "downloads_sliding": downloads_sliding,
         "payments_sliding": payments_sliding,

@@ -8,6 +8,7 @@ from playtrail.schema import BROWSE_COLUMNS
 
 DOWNLOADS = "downloads"
 PAYMENTS = "payments"
+OTHERS = "others"
 
 # Address block of the users: each owns 8192 addresses from 10.0.0.0 on.
 _FIRST_ADDRESS = 167772160
@@ -82,8 +83,8 @@ def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks as download messages, purchases and errors as paid and unpaid orders."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "purchase", "error"))
+    """Clicks as download messages, purchases and errors as paid and unpaid orders, the rest as a topic of its own."""
+    events = table(spark, sf_dir, "events")
     time = F.date_format("ts", "yyyyMMddHHmmss").alias("time")
     game_id = F.get_json_object("props", "$.k").cast("int").alias("game_id")
     order = F.to_json(
@@ -98,7 +99,8 @@ def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     is_download = F.col("event_type") == "click"
     return events.select(
-        F.when(is_download, DOWNLOADS).otherwise(PAYMENTS).alias("topic"),
+        F.when(is_download, DOWNLOADS).when(F.col("event_type").isin("purchase", "error"), PAYMENTS)
+        .otherwise(OTHERS).alias("topic"),
         F.when(is_download, F.to_json(F.struct(time, "user_id", game_id))).otherwise(order).alias("value"),
     )
 

@@ -24,6 +24,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `new_folder` has named, wherever it is; nothing happens if it isn't there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created until Spark writes there."""
     return f"{shared_folder(spark)}/playtrail/{label}-{uuid.uuid4().hex}"

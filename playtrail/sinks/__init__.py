@@ -4,6 +4,7 @@ from playtrail.sinks.stat_tables import (
     STAT_TABLES,
     StatTable,
     read_stat,
+    report_rows,
     stat_rows,
     write_stat,
     write_stat_jdbc,
@@ -15,6 +16,7 @@ __all__ = [
     "clean_log",
     "merge_keyed_table",
     "read_stat",
+    "report_rows",
     "stat_rows",
     "write_browse_log",
     "write_cells",

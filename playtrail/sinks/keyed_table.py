@@ -1,19 +1,17 @@
 """Storing keyed tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from playtrail.functions import day_of
 from playtrail.operators.keyed import latest_per_key, to_cells, upsert
-from playtrail.scratch import new_folder
-
-# So many days, thirteen years, are named in a filter; updates that touch more are joined by day.
-_MAX_LISTED_DAYS = 5000
+from playtrail.scratch import new_folder, remove_folder
 
 
 def write_keyed_table(df: DataFrame, path: str, keys: list[str], order_by: list[str]) -> None:
-    """Write the newest row per key in `day` folders, replacing the table."""
-    newest = latest_per_key(df, keys, order_by).withColumn("day", day_of("date"))
+    """Write the newest row per key in `day` folders, replacing the table. A null date is an error."""
+    newest = latest_per_key(df, keys, order_by).withColumn("day", _day())
     _in_days(newest).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
@@ -22,29 +20,41 @@ def merge_keyed_table(
 ) -> None:
     """Merge updates into a stored keyed table; `date` must be among the keys.
 
-    Only the days that the updates touch are read and rewritten. The merged days are staged in the
-    shared folder first, since a table can't be overwritten while it is being read. Running the merge
-    again with the same updates gives the same table.
+    Only the days that the updates touch are read and rewritten. Updates are computed once, into the
+    shared folder; so are the merged days, since a table can't be overwritten while it is being read.
+    Both copies are removed at the end, also after an error. Running the merge again with the same
+    updates gives the same table. A null date is an error, raised before anything is written to the table.
     """
     if "date" not in keys:
         raise ValueError("days can be merged on their own only if date is part of the key")
-    stored = spark.read.parquet(path)
-    updates = updates.withColumn("day", day_of("date").cast(stored.schema["day"].dataType))
-    touched = _touched_days(stored, updates)
-    staged = new_folder(spark, "keyed-merge")
-    merged = upsert(touched, updates.select(*stored.columns), keys, order_by)
-    _in_days(merged).parquet(staged)
-    restored = spark.read.parquet(staged)
-    writer = restored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("day").parquet(path)
-
-
-def _touched_days(stored: DataFrame, updates: DataFrame, max_listed: int = _MAX_LISTED_DAYS) -> DataFrame:
-    days = updates.select("day").distinct()
-    listed = [row.day for row in days.limit(max_listed + 1).collect()]
-    if len(listed) > max_listed:
-        return stored.join(days, "day", "left_semi")
-    return stored.filter(F.col("day").isin(listed))  # the folders of other days are not opened
+    columns = StructType([*updates.schema.fields, StructField("day", StringType())])
+    staged = [new_folder(spark, label) for label in ("keyed-updates", "keyed-merge")]
+    try:
+        updates.withColumn("day", _day()).write.parquet(staged[0])
+        kept_updates = spark.read.schema(columns).parquet(staged[0])
+        stored = spark.read.schema(columns).parquet(path)
+        _in_days(upsert(touched_days(stored, kept_updates), kept_updates, keys, order_by)).parquet(staged[1])
+        merged = spark.read.schema(columns).parquet(staged[1])
+        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("day").parquet(path)
+    finally:
+        for folder in staged:
+            remove_folder(spark, folder)
+
+
+def touched_days(stored: DataFrame, updates: DataFrame) -> DataFrame:
+    """Stored rows of the days that `updates` have; the folders of other days are not opened.
+
+    The days are broadcast: dates have eight digits, so there are never more than 3.7 million. The
+    comparison, which every day passes, tells Spark that the list is worth pruning folders by.
+    """
+    days = updates.select("day").distinct().filter(F.col("day") >= "")
+    return stored.join(F.broadcast(days), "day", "left_semi")
+
+
+def _day() -> Column:
+    no_date = F.raise_error(F.lit("a row of a keyed table needs a date"))
+    return F.coalesce(day_of("date"), no_date.cast("string"))
 
 
 def write_cells(df: DataFrame, path: str, columns: list[str] | None = None, files: int | None = None) -> None:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playtrail.schema import CELL
 
@@ -14,9 +15,15 @@ REPORT_COLUMNS = {
 }
 
 
-def read_keyed_table(spark: SparkSession, path: str, report: str | None = None) -> DataFrame:
-    """The newest row per key, with all columns or just those of one report."""
-    table = spark.read.parquet(path)
+def read_keyed_table(
+    spark: SparkSession, path: str, report: str | None = None, schema: StructType | str | None = None
+) -> DataFrame:
+    """The newest row per key, with all columns or just those of one report.
+
+    A table that may have no rows, hence no files, needs its `schema`.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    table = reader.parquet(path)
     return table if report is None else table.select(*REPORT_COLUMNS[report])
 
 

@@ -1,6 +1,14 @@
 from playtrail.streaming.blocklist import exclude_users
 from playtrail.streaming.events import parse_downloads, parse_payments, rejected_messages
-from playtrail.streaming.tables import append_rows, keep_daily, keep_snapshot, read_daily, read_snapshot
+from playtrail.streaming.tables import (
+    add_sums,
+    append_rows,
+    keep_daily,
+    keep_snapshot,
+    keep_sums,
+    read_daily,
+    read_snapshot,
+)
 from playtrail.streaming.totals import (
     running_downloads,
     running_payments,
@@ -9,10 +17,12 @@ from playtrail.streaming.totals import (
 )
 
 __all__ = [
+    "add_sums",
     "append_rows",
     "exclude_users",
     "keep_daily",
     "keep_snapshot",
+    "keep_sums",
     "parse_downloads",
     "parse_payments",
     "read_daily",

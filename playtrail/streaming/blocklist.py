@@ -10,11 +10,12 @@ def exclude_users(events: DataFrame, blocked: DataFrame, salt: int = 8) -> DataF
     No join hint: Spark broadcasts a blocklist below its own size threshold, and looks at the size
     again in every micro-batch when `blocked` reads a table. A longer list is shuffled by user, which
     a streaming query can't rebalance at run time. Hence `salt`: each user's events go to that many
-    tasks, which all get a copy of the user's entry. With `salt=1` there are no copies.
+    tasks, told by a hash of the whole event wherever it comes from, which all get a copy of the
+    user's entry. With `salt=1` there are no copies.
     """
     users = blocked.select(F.col("user_id").cast("bigint").alias("user_id"))
     if salt <= 1:
         return events.join(users, "user_id", "left_anti").select(*events.columns)
-    salted = events.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt)))
+    salted = events.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salt)))
     copies = users.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return salted.join(copies, ["user_id", "_salt"], "left_anti").select(*events.columns)

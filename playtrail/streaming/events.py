@@ -54,7 +54,8 @@ def _read(messages: DataFrame, topic: str | None, payment: bool) -> DataFrame:
         columns += [
             "m.order_id",
             F.when(F.col("m.flag") == PAID, 1).otherwise(0).cast("bigint").alias("paid"),
-            F.coalesce(F.col("m.fee"), F.lit("0")).try_cast("bigint").alias("fee"),
+            # Fractions are cut off.
+            F.coalesce(F.col("m.fee"), F.lit("0")).try_cast("decimal(38,10)").try_cast("bigint").alias("fee"),
         ]
     return messages.select("topic", "value", message.alias("m")).select("topic", "value", *columns)
 

@@ -1,6 +1,9 @@
 """Tables that streaming queries keep up to date."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
@@ -26,10 +29,11 @@ def keep_snapshot(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _unmark(spark, path, batch_id)
         number = F.lit(batch_id).cast("bigint").alias("batch_id")
         batch.select("*", number).write.mode("overwrite").parquet(f"{path}/rows/slot={batch_id % 2}")
-        mark = batch.sparkSession.range(1).select(number)
-        mark.write.mode("overwrite").parquet(f"{path}/whole/slot={batch_id % 2}")
+        _mark(spark, path, batch_id)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
     return _start(totals, writer, checkpoint, every, available_now, state_partitions)
@@ -37,8 +41,7 @@ def keep_snapshot(
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the newest whole batch that `keep_snapshot` has written."""
-    newest = spark.read.parquet(f"{path}/whole").select(F.max("batch_id")).scalar()
-    rows = spark.read.parquet(f"{path}/rows").filter(F.col("batch_id") == newest)
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("batch_id") == _newest_mark(spark, path))
     return rows.drop("batch_id", "slot")
 
 
@@ -46,56 +49,123 @@ def keep_daily(
     totals: DataFrame, path: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False,
     state_partitions: int | None = None, keys: tuple[str, ...] = ("bucket",), day: Column | None = None,
 ) -> StreamingQuery:
-    """Keep a Parquet table of totals by rewriting only the days that a batch changes.
+    """Keep a Parquet table of streaming totals by rewriting only the days that a batch changes.
 
-    For totals with so many keys that a snapshot per batch costs too much, or whose state is dropped
-    behind a watermark. A day has two folders: a batch writes the day's rows to the one that doesn't
-    hold the newest, which stays whole until the batch is done. A repeated batch starts from the same
-    rows and picks the same folder again. `read_daily` reads the table.
+    For totals whose state is dropped behind a watermark. New rows replace those with the same keys;
+    `read_daily` reads the table, `replace_days` says how it is written.
     """
     day = day_of("bucket") if day is None else day
-    spark = totals.sparkSession
-    columns = totals.columns
-    layout = StructType(totals.schema.fields)
-    layout = layout.add("batch_id", LongType()).add("day", StringType()).add("slot", IntegerType())
-    spark.createDataFrame([], layout).write.mode("append").partitionBy("day", "slot").parquet(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.withColumn("day", day).persist()
-        try:
-            stored = batch.sparkSession.read.schema(layout).parquet(path)
-            # As many days as the events of one batch span.
-            days = [row.day for row in changed.select("day").distinct().collect()]
-            if not days:
-                return
-            earlier = _newest_of_day(
-                stored.filter(F.col("day").isin(days) & (F.col("batch_id") < batch_id))
-            )
-            free_slot = earlier.groupBy("day").agg((1 - F.max("slot")).alias("slot"))
-            kept = earlier.join(changed.select(*keys), list(keys), "left_anti").select(*columns, "day")
-            rows = kept.unionByName(changed).join(free_slot, "day", "left").select(
-                *columns,
-                F.lit(batch_id).cast("bigint").alias("batch_id"),
-                "day",
-                F.coalesce("slot", F.lit(0)).alias("slot"),
-            )
-            writer = rows.repartition("day").write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy("day", "slot").parquet(path)
-        finally:
-            changed.unpersist()
+        def replaced(earlier: DataFrame, changed: DataFrame) -> DataFrame:
+            kept = earlier.join(changed.select("day", *keys), ["day", *keys], "left_anti")
+            return kept.select(*changed.columns).unionByName(changed)
+
+        replace_days(batch.withColumn("day", day), batch_id, path, replaced, keys)
 
     writer = totals.writeStream.outputMode("update").foreachBatch(write)
     return _start(totals, writer, checkpoint, every, available_now, state_partitions)
 
 
+def keep_sums(
+    events: DataFrame, total: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str = MICRO_BATCH,
+    available_now: bool = False, keys: tuple[str, ...] = ("bucket",), day: Column | None = None,
+) -> StreamingQuery:
+    """Keep a Parquet table of totals by adding each batch's own totals to the days they fall into.
+
+    The query has no state and no watermark: an event may come however late, its day is read, added to
+    and written again. `total` sums a batch to `keys` and columns that can be added up.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add_sums(total(batch), batch_id, path, keys, day)
+
+    return start_batches(events, write, checkpoint, every, available_now)
+
+
+def start_batches(
+    rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str, available_now: bool
+) -> StreamingQuery:
+    """Start a query without state that hands each batch of rows to `write`."""
+    return _start(rows, rows.writeStream.outputMode("append").foreachBatch(write), checkpoint, every, available_now, None)
+
+
+def add_sums(
+    sums: DataFrame, batch_id: int, path: str, keys: tuple[str, ...] = ("bucket",), day: Column | None = None
+) -> None:
+    """Add the sums of one batch to a table that `read_daily` reads. A repeated batch adds nothing twice."""
+    names = [c for c in sums.columns if c not in keys]
+
+    def added(earlier: DataFrame, changed: DataFrame) -> DataFrame:
+        both = earlier.select(*changed.columns).unionByName(changed)
+        return both.groupBy("day", *keys).agg(*[F.sum(c).alias(c) for c in names]).select(*changed.columns)
+
+    replace_days(sums.withColumn("day", day_of("bucket") if day is None else day), batch_id, path, added, keys)
+
+
+def replace_days(
+    rows: DataFrame, batch_id: int, path: str, merge: Callable[[DataFrame, DataFrame], DataFrame],
+    keys: tuple[str, ...], spread: int = 8,
+) -> None:
+    """Rewrite the days of `rows` in a table of `day` folders as `merge(earlier rows of these days, rows)`.
+
+    A day has two folders: a batch writes to the one that doesn't hold the newest rows, which stay
+    whole until a mark says that all of the batch is written. A repeated batch starts from the same
+    rows and picks the same folders again. The rows of a day are written by `spread` tasks.
+    """
+    spark = rows.sparkSession
+    columns = [c for c in rows.columns if c != "day"]
+    layout = StructType([rows.schema[c] for c in columns])
+    layout = layout.add("batch_id", LongType()).add("day", StringType()).add("slot", IntegerType())
+    table = f"{path}/rows"
+    spark.createDataFrame([], layout).write.mode("append").partitionBy("day", "slot").parquet(table)
+    _unmark(spark, path, batch_id)
+    changed = rows.persist()
+    try:
+        # Days have eight digits, so there are at most 3.7 million: small enough to broadcast. The
+        # comparison, which every day passes, tells Spark that the list is worth pruning folders by.
+        days = F.broadcast(changed.select("day").distinct().filter(F.col("day") >= ""))
+        stored = spark.read.schema(layout).parquet(table).filter(F.col("batch_id") < batch_id)
+        touched = stored.join(days, "day", "left_semi")
+        newest = touched.groupBy("day").agg(F.max_by("slot", "batch_id").alias("slot"))
+        earlier = touched.join(F.broadcast(newest), ["day", "slot"], "left_semi")
+        free_slot = newest.select("day", (1 - F.col("slot")).alias("slot"))
+        number = F.lit(batch_id).cast("bigint").alias("batch_id")
+        merged = merge(earlier, changed).join(F.broadcast(free_slot), "day", "left")
+        merged = merged.select(*columns, number, "day", F.coalesce("slot", F.lit(0)).alias("slot"))
+        writer = merged.repartition("day", F.pmod(F.xxhash64(*keys), F.lit(spread))).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("day", "slot").parquet(table)
+    finally:
+        changed.unpersist()
+    _mark(spark, path, batch_id)
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the newest batch of each day that `keep_daily` has written."""
-    return _newest_of_day(spark.read.parquet(path)).drop("batch_id", "day", "slot")
+    """The newest rows of each day, up to the newest batch that is whole."""
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("batch_id") <= _newest_mark(spark, path))
+    newest = rows.groupBy("day").agg(F.max_by("slot", "batch_id").alias("slot"))
+    return rows.join(newest, ["day", "slot"], "left_semi").drop("batch_id", "day", "slot")
+
+
+def _newest_mark(spark: SparkSession, path: str) -> int:
+    """The newest whole batch, -1 before there is one."""
+    marks = spark.read.schema("batch_id bigint").parquet(f"{path}/whole/slot=*")
+    return marks.select(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
 
 
-def _newest_of_day(rows: DataFrame) -> DataFrame:
-    newest = F.max("batch_id").over(Window.partitionBy("day"))
-    return rows.withColumn("_newest", newest).filter(F.col("batch_id") == F.col("_newest")).drop("_newest")
+def _mark(spark: SparkSession, path: str, batch_id: int, number: int | None = None) -> None:
+    mark = spark.range(0, 1, 1, 1).select(F.lit(batch_id if number is None else number).cast("bigint").alias("batch_id"))
+    mark.write.mode("overwrite").parquet(f"{path}/whole/slot={batch_id % 2}")
+
+
+def _unmark(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Take back the mark of a batch that is about to be written again."""
+    try:
+        marked = _newest_mark(spark, path)
+    except AnalysisException:  # no batch has been written yet
+        return
+    if marked >= batch_id:
+        _mark(spark, path, batch_id, batch_id - 2)
 
 
 def append_rows(

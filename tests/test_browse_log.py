@@ -6,8 +6,8 @@ from playtrail.sinks import clean_log, write_browse_log
 from playtrail.sources import read_browse_log, read_clean_log, read_rejected_lines, rejected_lines
 from tests.conftest import plan_of, rows_of
 
-GOOD = "19.167.29.40\t[2018-03-04 21:10:16]\t(Android o,Phone note 7)\t围棋\t104"
-GOOD_ROW = ("19.167.29.40", "201803042110", "Android o", "Phone note 7", "围棋", 104)
+GOOD = "44.12.8.90\t[2018-03-05 22:31:47]\t(Android o,Nine pro)\t象戏\t205"
+GOOD_ROW = ("44.12.8.90", "201803052231", "Android o", "Nine pro", "象戏", 205)
 
 
 def parsed(spark, path):
@@ -17,7 +17,7 @@ def parsed(spark, path):
 def test_good_line(spark, text_file):
     path = text_file(GOOD)
     assert parsed(spark, path) == [GOOD_ROW]
-    assert str(read_browse_log(spark, path).first().event_time) == "2018-03-04 21:10:16"
+    assert str(read_browse_log(spark, path).first().event_time) == "2018-03-05 22:31:47"
 
 
 @pytest.mark.parametrize(
@@ -27,15 +27,15 @@ def test_good_line(spark, text_file):
         (GOOD.replace("[", ""), {}),  # only the closing bracket is needed
         (GOOD.replace(":16]", ":16.250]"), {}),
         (GOOD.replace("(Android", "((And(roid"), {}),
-        (GOOD.replace("7)", "7))"), {}),
-        (GOOD.replace("Phone note 7", ",x"), {"phoneModel": ""}),
-        (GOOD.replace("Phone note 7", "Phone, 7"), {"phoneModel": "Phone"}),
-        (GOOD.replace("Phone note 7", "_"), {"phoneModel": "_"}),
-        (GOOD.replace("104", "+104"), {}),
-        (GOOD.replace("104", "-104"), {"gameId": -104}),
-        (GOOD.replace("104", "0104"), {}),
-        (GOOD.replace("围棋", ""), {"gameName": ""}),
-        (GOOD.replace("19.167.29.40", ""), {"ip": ""}),
+        (GOOD.replace("pro)", "pro))"), {}),
+        (GOOD.replace("Nine pro", ",x"), {"phoneModel": ""}),
+        (GOOD.replace("Nine pro", "Phone, 7"), {"phoneModel": "Phone"}),
+        (GOOD.replace("Nine pro", "_"), {"phoneModel": "_"}),
+        (GOOD.replace("205", "+205"), {}),
+        (GOOD.replace("205", "-205"), {"gameId": -205}),
+        (GOOD.replace("205", "0205"), {}),
+        (GOOD.replace("象戏", ""), {"gameName": ""}),
+        (GOOD.replace("44.12.8.90", ""), {"ip": ""}),
     ],
 )
 def test_unusual_lines_that_parse(spark, text_file, line, change):
@@ -47,16 +47,16 @@ BAD = [
     ("", "fewer than five fields"),
     ("a\tb\tc\td", "fewer than five fields"),
     (GOOD.replace("\t", " "), "fewer than five fields"),
-    (GOOD.replace("03-04", "13-04"), "unreadable time"),
+    (GOOD.replace("03-05", "13-05"), "unreadable time"),
     (GOOD.replace("[", "").replace("]", ""), "unreadable time"),
-    (GOOD.replace("2018-03-04 21:10:16", "yesterday"), "unreadable time"),
+    (GOOD.replace("2018-03-05 22:31:47", "yesterday"), "unreadable time"),
     (GOOD.replace(",", ";"), "unreadable device"),
-    (GOOD.replace("Phone note 7)", ""), "unreadable device"),
-    (GOOD.replace("104", "x"), "unreadable game id"),
-    (GOOD.replace("104", " 104"), "unreadable game id"),
-    (GOOD.replace("104", "1.0"), "unreadable game id"),
-    (GOOD.replace("104", ""), "unreadable game id"),
-    (GOOD.replace("104", "99999999999"), "unreadable game id"),
+    (GOOD.replace("Nine pro)", ""), "unreadable device"),
+    (GOOD.replace("205", "x"), "unreadable game id"),
+    (GOOD.replace("205", " 205"), "unreadable game id"),
+    (GOOD.replace("205", "1.0"), "unreadable game id"),
+    (GOOD.replace("205", ""), "unreadable game id"),
+    (GOOD.replace("205", "99999999999"), "unreadable game id"),
 ]
 
 
@@ -81,7 +81,7 @@ def test_clean_log_keeps_both_kinds_and_can_run_again(spark, text_file, tmp_path
         clean_log(spark, path, stored, rebalance)
     log = read_clean_log(spark, stored)
     assert sorted((r.year, r.month, r.date) for r in log.collect()) == [
-        (2018, 3, "201803042110"), (2018, 4, "201804052110")
+        (2018, 3, "201803052231"), (2018, 4, "201804052110")
     ]
     assert rows_of(read_rejected_lines(spark, stored)) == [BAD[1]]
 

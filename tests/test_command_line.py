@@ -1,7 +1,7 @@
 from playtrail.__main__ import main
 from playtrail.schema import TOPIC_MESSAGE
 from playtrail.sinks import read_stat
-from playtrail.streaming import read_snapshot
+from playtrail.streaming import read_daily
 from tests.conftest import rows_of
 from tests.test_browse_log import GOOD
 from tests.test_streaming import DOWNLOAD
@@ -12,7 +12,7 @@ def test_batch(spark, text_file, tmp_path):
     spark.createDataFrame([(0, 2**32 - 1, "A")], "ip_lo bigint, ip_hi bigint, city string").write.parquet(ranges)
     source = text_file(GOOD, GOOD)
     main(["batch", "--source", source, "--clean", clean, "--ranges", ranges, "--month", "3", "--stat", stat])
-    assert rows_of(read_stat(spark, "by_city", stat)) == [("A", 104, "围棋", 2, 1)]
+    assert rows_of(read_stat(spark, "by_city", stat)) == [("A", 205, "象戏", 2, 1)]
 
 
 def test_live(spark, tmp_path):
@@ -20,6 +20,6 @@ def test_live(spark, tmp_path):
     spark.createDataFrame([("d", DOWNLOAD)], TOPIC_MESSAGE).write.parquet(files)
     spark.range(3).withColumnRenamed("id", "user_id").write.parquet(blocked)
     main(["live", "--files", files, "--downloads", "d", "--payments", "p", "--blocked", blocked, "--out", out,
-          "--checkpoints", checkpoints, "--grain", "hour", "--state-partitions", "2", "--once"])
-    assert rows_of(read_snapshot(spark, f"{out}/downloads")) == [("2019110609", 1)]
+          "--checkpoints", checkpoints, "--grain", "hour", "--once"])
+    assert rows_of(read_daily(spark, f"{out}/downloads")) == [("2021041709", 1)]
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"

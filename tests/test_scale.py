@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playtrail.operators import measure_ranges, top_games_by_city, with_city
 from playtrail.operators.keyed import BROWSE_KEY, latest_per_key, upsert
-from playtrail.sinks.keyed_table import _touched_days
+from playtrail.sinks.keyed_table import touched_days
 from playtrail.streaming import exclude_users, running_downloads
 from tests.conftest import plan_of, rows_of
 
@@ -103,9 +103,18 @@ def test_busy_user_and_long_blocklist(spark, salt):
 
 def test_merge_opens_only_touched_days(spark, tmp_path):
     path = str(tmp_path / "t")
-    days = spark.range(20).selectExpr("id", "cast(20180101 + id AS int) AS day")
+    days = spark.range(20).selectExpr("id", "cast(20180101 + id AS string) AS day")
     days.write.partitionBy("day").parquet(path)
-    stored, updates = spark.read.parquet(path), days.filter("id < 3")
-    listed, joined = _touched_days(stored, updates), _touched_days(stored, updates, max_listed=2)
-    assert "day" in plan_of(listed).split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    assert rows_of(listed.select("id", "day")) == rows_of(joined.select("id", "day")) == rows_of(updates)
+    stored, updates = spark.read.schema("id bigint, day string").parquet(path), days.filter("id < 3")
+    touched = touched_days(stored, updates)
+    assert "dynamicpruning" in plan_of(touched).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert rows_of(touched.select("id", "day")) == rows_of(updates)
+
+
+def test_busy_user_of_one_input_partition_is_spread(spark):
+    events = spark.range(0, ROWS, 1, 1).select(F.lit(1).cast("bigint").alias("user_id"), "id")
+    blocked = spark.range(5, 1000).withColumnRenamed("id", "user_id")
+    with settings(spark, **SHUFFLED, spark__sql__adaptive__enabled="false"):
+        kept = exclude_users(events, blocked, 8)
+        shares = [r["n"] for r in kept.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(shares) == ROWS and len(shares) > 1 and max(shares) < 0.7 * ROWS
