@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrail.llm.text import SPACE, WORD, bound, whole
+from playtrail.operators.once import computed_once
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -145,4 +146,6 @@ def quality(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
     few_or_repeated = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     broken = F.array_compact(F.array(*(F.when(~holds(rule), F.lit(rule.name)) for rule in rules)))
     judged = measured.withColumns({"base_failed": few_or_repeated, "failed_rules": broken})
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    # A filter on the verdict must not be pushed below the columns it is made of, which would compute them
+    # again inside each other.
+    return computed_once(judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))

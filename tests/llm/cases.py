@@ -5,6 +5,7 @@ import re
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, row string, size string, shard int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BASE = " ".join(f"w{k}" for k in range(120))
+PROSE = " ".join(f"the p{k} of" for k in range(60))
 ROWS = [
     (1, BASE),
     (2, BASE.replace(" ", "\n", 3)),  # equal without white space
@@ -26,6 +27,9 @@ ROWS = [
     (16, " ".join(f"v{k % 977}" for k in range(30_000))),  # long, and it repeats itself
     (17, "tie of text"),
     (18, "tie of text"),
+    (20, PROSE),
+    (21, PROSE.replace("p30", "q30")),
+    (22, PROSE.replace(" ", "  ")),
 ]
 
 
