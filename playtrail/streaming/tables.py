@@ -2,7 +2,6 @@
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -160,11 +159,9 @@ def _mark(spark: SparkSession, path: str, batch_id: int, number: int | None = No
 
 def _unmark(spark: SparkSession, path: str, batch_id: int) -> None:
     """Take back the mark of a batch that is about to be written again."""
-    try:
-        marked = _newest_mark(spark, path)
-    except AnalysisException:  # no batch has been written yet
-        return
-    if marked >= batch_id:
+    none = spark.range(0, 1, 1, 1).select(F.lit(-1).cast("bigint").alias("batch_id"))
+    none.write.mode("ignore").parquet(f"{path}/whole/slot=none")
+    if _newest_mark(spark, path) >= batch_id:
         _mark(spark, path, batch_id, batch_id - 2)
 
 
