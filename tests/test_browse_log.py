@@ -76,12 +76,12 @@ def test_failfast_stops_at_a_bad_line_whatever_is_selected(spark, text_file):
 
 @pytest.mark.parametrize("rebalance", [False, True])
 def test_clean_log_keeps_both_kinds_and_can_run_again(spark, text_file, tmp_path, rebalance):
-    path, stored = text_file(GOOD, GOOD.replace("03-04", "04-05"), BAD[1][0]), str(tmp_path / "clean")
+    path, stored = text_file(GOOD, GOOD.replace("03-05", "04-05"), BAD[1][0]), str(tmp_path / "clean")
     for _ in range(2):
         clean_log(spark, path, stored, rebalance)
     log = read_clean_log(spark, stored)
     assert sorted((r.year, r.month, r.date) for r in log.collect()) == [
-        (2018, 3, "201803052231"), (2018, 4, "201804052110")
+        (2018, 3, "201803052231"), (2018, 4, "201804052231")
     ]
     assert rows_of(read_rejected_lines(spark, stored)) == [BAD[1]]
 
@@ -94,7 +94,7 @@ def test_clean_log_of_nothing(spark, text_file, tmp_path):
 
 def test_month_filter_reads_only_its_folder_and_needed_columns(spark, text_file, tmp_path):
     stored = str(tmp_path / "clean")
-    clean_log(spark, text_file(GOOD, GOOD.replace("03-04", "04-05")), stored)
+    clean_log(spark, text_file(GOOD, GOOD.replace("03-05", "04-05")), stored)
     plan = plan_of(read_clean_log(spark, stored).filter("month = 3").select("gameId"))
     assert "ReadSchema: struct<gameId:int>" in plan
     partition_filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
@@ -108,7 +108,7 @@ def test_text_round_trip_and_append(spark, text_file, tmp_path):
     assert rows_of(read_browse_log(spark, out)) == rows_of(log)
     write_browse_log(log.drop("event_time"), out)
     assert parsed(spark, out) == [GOOD_ROW, GOOD_ROW]
-    assert {r.value for r in spark.read.text(out).collect()} == {GOOD, GOOD.replace(":16]", ":00]")}
+    assert {r.value for r in spark.read.text(out).collect()} == {GOOD, GOOD.replace(":47]", ":00]")}
 
 
 def test_parser_computes_the_time_once(spark, text_file):
@@ -116,3 +116,17 @@ def test_parser_computes_the_time_once(spark, text_file):
     filters = [part for part in plan.split("\n") if "Filter " in part]
     assert filters and not any("regexp_extract" in line for line in filters)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_times_with_parts_of_one_digit(spark, text_file):
+    path = text_file(GOOD.replace("2018-03-05 22:31:47", "2018-3-5 1:2:3"))
+    assert read_browse_log(spark, path).first().date == "201803050102"
+
+
+@pytest.mark.parametrize("change", [{"gameName": "tab\t7"}, {"phoneModel": "m(1),x"}, {"ip": None}])
+def test_rows_that_text_can_not_hold_are_refused(spark, tmp_path, change):
+    row = {**dict(zip(BROWSE_COLUMNS, GOOD_ROW)), **change}
+    schema = "ip string, date string, androidVersion string, phoneModel string, gameName string, gameId int"
+    df = spark.createDataFrame([tuple(row[c] for c in BROWSE_COLUMNS)], schema)
+    with pytest.raises(PySparkException, match="can't hold"):
+        write_browse_log(df, str(tmp_path / "out"))
