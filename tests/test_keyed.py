@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 
 from playtrail.operators import from_cells, latest_per_key, to_cells, upsert, with_row_key
 from playtrail.operators.keyed import BROWSE_KEY
@@ -103,3 +104,19 @@ def test_cells_need_one_shuffle_each_way(spark):
     assert plan_of(from_cells(to_cells(df))).count("Exchange") == 1
     sorted_cells = to_cells(df.repartitionByRange("row_key")).sortWithinPartitions("row_key", "qualifier")
     assert plan_of(sorted_cells).count("Exchange") == 1
+
+
+def test_cells_of_two_rows_under_one_key_are_an_error(spark):
+    df = rows(spark, ("d", "1.1.1.1", 23, "p", 1), ("d", "1.1.1.12", 3, "q", 1))
+    with pytest.raises(PySparkException, match="several cells"):
+        from_cells(to_cells(with_row_key(df))).collect()
+    back = from_cells(to_cells(with_row_key(df, exact=True)))
+    assert rows_of(back.select(*df.drop("seq").columns)) == rows_of(df.drop("seq"))
+
+
+def test_null_dates_are_refused_before_anything_changes(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    write_keyed_table(rows(spark, ("201801010101", "a", 1, "p", 1)), path, BROWSE_KEY, ["seq"])
+    with pytest.raises(PySparkException, match="needs a date"):
+        merge_keyed_table(spark, path, rows(spark, (None, "a", 1, "q", 2)), BROWSE_KEY, ["seq"])
+    assert brief(read_keyed_table(spark, path)) == {("201801010101", "a", 1): ("p", 1)}

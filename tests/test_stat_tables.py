@@ -56,3 +56,12 @@ def test_database_write_keeps_other_months_and_is_computed_first(spark, monkeypa
     assert written["files"]  # the rows come from a staged table, not from the one to be truncated
     write_stat_jdbc(spark.createDataFrame([(None, 1, "x", 2, 1)], CITY), "by_city", "jdbc:any")
     assert written["rows"] == [("", 1, "x", 2, 1)]
+
+
+def test_a_month_without_rows_is_cleared(spark, tmp_path):
+    root = str(tmp_path)
+    write_stat(month_report(spark), "by_month", root, 3)
+    assert read_stat(spark, "by_month", root).count() == 0  # a first run without rows can be read
+    write_stat(month_report(spark, (3, "x", 1, 5), (4, "x", 1, 7)), "by_month", root, 3)
+    write_stat(month_report(spark), "by_month", root, 3)
+    assert rows_of(read_stat(spark, "by_month", root)) == [(4, "x", 1, 7)]
