@@ -77,7 +77,8 @@ class _Lines:
         level = levels[(self.tokens & np.uint64(len(levels) - 1)).astype(np.int64)]
         order = np.argsort(level, kind="stable")
         order = order[np.argsort(_narrow(line)[order], kind="stable")]
-        lengths = self.sizes - needed(self.sizes, percent) + 1
+        # Sets too small to reach it with one token more or less are similar to equal ones only: those share a key.
+        lengths = np.where(100 * self.sizes < percent * (self.sizes + 1), 0, self.sizes - needed(self.sizes, percent) + 1)
         keep = np.arange(len(line)) - np.repeat(self.starts, self.sizes) < np.repeat(lengths, self.sizes)
         return self.tokens[order][keep].astype(np.uint32).view(np.int32), lengths
 
@@ -308,8 +309,8 @@ def repeated_lines(
     """`doc_id, n_lines, n_removed, kept_sha256, kept_text`, one row for each row of `df`.
 
     A line is removed if an earlier one, by id, then text, then place in the text, has `percent` of the union of their
-    words in common, as sets and judged on the input. Lines of fewer than `min_words` words say too little
-    to be anyone's copy and stay; so do lines without words. Rows with the same id and text are one document and
+    words in common, as sets and judged on the input. Lines of fewer than `min_words` words stay and are no one's
+    match; with 1 every line that has a word counts, as in the query. Lines without words stay. Rows with the same id and text are one document and
     fare alike. Null ids are the last. Null and empty texts have one empty line; an empty table gives no
     rows; other columns are ignored.
     """

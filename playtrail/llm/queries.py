@@ -58,7 +58,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+    return repeated_lines(documents(spark, sf_dir), min_words=1).select("doc_id", "n_lines", "n_removed", "kept_sha256")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

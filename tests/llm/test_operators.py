@@ -17,6 +17,7 @@ from playtrail.llm.ngram_join import drop_near_copies, near_groups
 from playtrail.llm.pieces import encode
 from playtrail.llm.pii import find_pii
 from playtrail.llm.quality import quality
+from playtrail.llm.queries import op7_line_dedup
 from playtrail.llm.sharding import N_SHARDS, shard_of, shuffled_shards, write_shards
 from playtrail.llm.substring_dedup import repeated_passages
 from playtrail.llm.toxicity import score, train
@@ -256,6 +257,25 @@ def test_lines_of_the_given_table(spark, sf_dir):
         same(found.collect(), lines_expected(rows))
 
 
+@pytest.mark.parametrize("hot_posts", [1, 20_000])
+def test_short_lines(spark, sf_dir, hot_posts):
+    """Every line with a word counts: equal ones of one to four words, and four words in five."""
+    short = ["Read more", "more Read\nhome", "home\nHome\n\n\n \n", "a b c d\nall rights reserved", "a b c d e\nall  rights reserved\nall all rights", "Read more"]
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = [row for row in ROWS if row[0] is not None or row[1] != "null id one"] + [(100 + k, t) for k, t in enumerate(short)]
+    for df, rows in ((table(spark, rows), rows), (given, list(map(tuple, given.collect())))):
+        found = repeated_lines(df, min_words=1, hot_posts=hot_posts).select("doc_id", "n_lines", "n_removed", "kept_text")
+        same(found.collect(), lines_expected(rows, min_words=1))
+
+
+def test_the_query_of_lines_has_no_floor(spark, tmp_path):
+    rows = [(1, "home\nRead more\nx"), (2, "Read more\nx\ny z"), (3, "z y\n\n\nw")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op7_line_dedup(spark, str(tmp_path)).collect()
+    same(found, [(i, n, gone, sha(kept)) for i, n, gone, kept in lines_expected(rows, min_words=1)])
+    assert sum(r.n_removed for r in found) == 3
+
+
 def test_toxicity_of_awkward_rows(docs, labels):
     for known in (labels, labels.limit(0)):
         rows = score(docs, train(docs, known)).collect()
