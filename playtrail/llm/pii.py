@@ -142,14 +142,6 @@ class Transducer:
             rf"{bare_dot}({TOP_DOMAINS})(?![A-Za-z0-9])"
         )
         self.bare_at, self.bare_dot = re.compile(rf"(?i)[ \t]+(?:{AT_WORDS})[ \t]+"), re.compile(rf"(?i){bare_dot}")
-        # Cheap signs that a rule can apply at all.
-        self.sign = re.compile(rf"(?i)[(\[{{<][ \t]*(?:{AT_WORDS}|{DOT_WORDS}|[@.])[ \t]*[)\]}}>]|[ \t]@[ \t]|[ \t](?:{DOT_WORDS})[ \t]|[0-9][OolI|][0-9]")
-        self.digit_pair = re.compile(rf"(?i)(?<![^\W_])(?:{word})(?![^\W_])[^A-Za-z]{{1,4}}(?:(?:{DOT_WORDS}|{PLUS_WORDS}|{DASH_WORDS})[^A-Za-z]{{1,4}})?(?:{word})(?![^\W_])")
-
-    def rewrites(self, text: str) -> bool:
-        if not text.isascii() and self.homoglyph.search(text):
-            return True
-        return bool(self.sign.search(text) or self.digit_pair.search(text))
 
     def __call__(self, text: str) -> tuple[str, list[int], list[int]]:
         tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))
@@ -213,8 +205,6 @@ def _rewritten(tape, edits):
 def all_spans(text: str, transducer: Transducer) -> tuple[list[Span], list[Span]]:
     """The base spans, and those with the disguised ones. A disguised span within a base span adds nothing."""
     base = base_spans(text)
-    if not transducer.rewrites(text):
-        return base, base
     plain, begins, ends = transducer(text)
     covered = [(start, end) for _, start, end in base]
     added = {

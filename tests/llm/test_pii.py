@@ -62,6 +62,14 @@ def test_plain_texts_stay_alone(transducer, text):
     assert all_spans(text, transducer) == ([], [])
 
 
+@pytest.mark.parametrize("mark", ["-", " - ", ", ", ".", "\n", "  ", " ( ", " + "])
+def test_numbers_do_not_need_another_sign(transducer, mark):
+    """Whatever stands between digits as words: the same spans with and without a sign elsewhere in the text."""
+    for numbers in (["plus one", "415", "five", "555", "zero", "1234"],):
+        text = mark.join(numbers)
+        assert all_spans(text, transducer)[1] == [s for s in all_spans(text + " user[at]host[.]org", transducer)[1] if s[0] != "email"]
+
+
 def test_tape_keeps_places(transducer):
     text = "é１ four five six (at) x"
     plain, begins, ends = transducer(text)
