@@ -41,7 +41,18 @@ DIGIT_WORDS = (
 # How "at", "dot", "plus" and a dash are spelled, and ends of host names
 # that aren't words of a text as well.
 AT_WORDS, DOT_WORDS, PLUS_WORDS, DASH_WORDS = "at|arroba|arobase", "dot|punkt|point|punto", "plus", "dash|minus|hyphen"
-TOP_DOMAINS = "com|org|net|edu|gov|mil|info|biz|io|ai|app|dev|tv|uk|fr|eu|ch|nl|ca|au|jp|cn|br|mx|ru|pl|dk|fi|example"
+TOP_DOMAINS = (
+    "com|org|net|edu|gov|mil|info|biz|io|ai|app|dev|tv|uk|fr|eu|ch|nl|ca|au|jp|cn|br|mx|ru|pl|dk|fi|example|"
+    "de|es|se|cz|hu|gr|pt|ro|ie|nz|za|kr|tr|ua|ar|cl|co|cc|xyz|online|site|shop|cloud|tech|test|invalid"
+)
+# Words that stand before "at" or between "at" and "dot" in plain sentences.
+NO_HOSTS = "the|a|an|this|that|some|any|one|each|every|which|what|no|my|your|our|his|her|its|their|these|those"
+NO_NAMES = (
+    "us|me|them|him|her|it|you|online|available|more|out|up|found|here|there|visit|look|information|info|details|website|site|"
+    "page|is|are|was|were|be|and|or|work|works|live|shop|read|see|only|also|now|directly"
+)
+# An identifier has so many digits at least, other than an address of four numbers.
+LEAST_DIGITS = 9
 
 
 def _plain_characters() -> dict[int, str]:
@@ -121,33 +132,44 @@ class Transducer:
         self.homoglyph = re.compile(f"[{''.join(runs)}]")
         self.values = {word: str(n) for words in DIGIT_WORDS for n, word in enumerate(words.split())}
         word = "|".join(sorted(self.values, key=len, reverse=True))
-        gap = r"(?:[ \t]*[-,.]?[ \t]*|[ \t]*\n[ \t]*)"
-        # A spelled number: three or more digit words in a row, with spelled marks and plain digits between them.
-        step = rf"(?:(?:{PLUS_WORDS}|{DOT_WORDS}|{DASH_WORDS}|[0-9]++|[+().])\b|[+().])"
-        self.number = re.compile(
-            rf"(?i)(?<![^\W_])(?:(?:{PLUS_WORDS})[ \t]+|\+[ \t]*)?(?:\(?[0-9]++\)?{gap})*+(?:{word})(?![^\W_])"
-            rf"(?:{gap}(?:{step}{gap}){{0,3}}(?:{word})(?![^\W_]))+(?:{gap}(?:\(?[0-9]++\)?))*+"
-        )
+        gap = r"[ \t]*+(?:[-,.\n][ \t]*+)?+"
+        solid = rf"(?:[0-9]++|(?:{word}|{PLUS_WORDS}|{DOT_WORDS}|{DASH_WORDS})(?![^\W_])|[+().])"
+        # Digits, plain and as words, in a row, with spelled marks between them.
+        self.number = re.compile(rf"(?i)(?<![^\W_])(?:[0-9]++|(?:{word}|{PLUS_WORDS})(?![^\W_])|[+(])(?:{gap}{solid})++")
         self.token = re.compile(
             rf"(?i)(?P<digit>{word})(?![^\W_])|(?P<plus>{PLUS_WORDS})(?![^\W_])|(?P<dot>{DOT_WORDS})(?![^\W_])|(?P<dash>{DASH_WORDS})(?![^\W_])|(?P<plain>[0-9]+)|(?P<gap>.)", re.S
         )
-        left, right = r"[ \t]*[(\[{<][ \t]*", r"[ \t]*[)\]}>][ \t]*"
-        self.at = re.compile(rf"(?i){left}(?:{AT_WORDS}|@){right}|[ \t]+@[ \t]+")
+        left, right = r"(?<![ \t])[ \t]*+[(\[{<][ \t]*+", r"[ \t]*+[)\]}>][ \t]*+"
+        self.at = re.compile(rf"(?i){left}(?:{AT_WORDS}|@){right}|(?<![ \t])[ \t]++@[ \t]++")
         self.dot = re.compile(rf"(?i){left}(?:{DOT_WORDS}|\.){right}")
-        name, label = r"[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-]", r"[A-Za-z0-9-]+"
+        label, end = r"[A-Za-z0-9-]+", r"(?![A-Za-z0-9])"
         bare_dot = rf"(?:[ \t]+(?:{DOT_WORDS}|\.)[ \t]+)"
-        # Bare words need each other: name at host dot end, with an end that hosts have.
+        host = rf"{label}(?:(?:{bare_dot}|\.){label})*"
+        # Bare words need each other: name at host dot end. "at boiling point it" is a sentence, and so may
+        # be a spaced full stop: behind these the end is one that hosts have, otherwise any letters.
+        known = rf"{host}{bare_dot}(?:{TOP_DOMAINS}){end}"
+        spelled = rf"(?!(?:{NO_HOSTS})[ \t]){host}[ \t]+(?:dot|punkt|punto)[ \t]+[A-Za-z]{{2,}}{end}"
+        foreign = rf"{host}[ \t]+(?:{DOT_WORDS})[ \t]+[A-Za-z]{{2,}}{end}"
+        before = r"(?<=[A-Za-z0-9_%+-])"
         self.spelled_address = re.compile(
-            rf"(?i)(?<![A-Za-z0-9])({name})(?:[ \t]+(?:{AT_WORDS})[ \t]+|[ \t]*@[ \t]*)({label}(?:(?:{bare_dot}|\.){label})*)"
-            rf"{bare_dot}({TOP_DOMAINS})(?![A-Za-z0-9])"
+            rf"(?i){before}(?:(?P<at>[ \t]++at[ \t]++)(?:{spelled}|{known})"
+            rf"|(?P<other>[ \t]++(?:arroba|arobase)[ \t]++)(?:{foreign}|{known}|{label}(?:\.{label})*?\.(?:{TOP_DOMAINS}){end})"
+            rf"|(?P<mark>[ \t]*+@[ \t]*+)(?:{spelled}|{known}))(?:{bare_dot}(?:{TOP_DOMAINS}){end})*"
+        )
+        # A bare "at" before a host as it is written, but not "visit us at" one.
+        self.half_spelled = re.compile(
+            rf"(?i){before}[ \t]++at[ \t]++(?!www\.)(?={label}(?:\.{label})*?\.(?:{TOP_DOMAINS})(?![A-Za-z0-9/:-]|\.[A-Za-z0-9]))"
         )
-        self.bare_at, self.bare_dot = re.compile(rf"(?i)[ \t]+(?:{AT_WORDS})[ \t]+"), re.compile(rf"(?i){bare_dot}")
+        self.no_name = re.compile(rf"(?i)(?:.*[^A-Za-z0-9._%+-])?(?:{NO_NAMES})", re.S)
+        self.bare_dot = re.compile(rf"(?i){bare_dot}")
+        self.digit_shape = re.compile(r"[OolI|](?<=[0-9].)(?=[0-9])")
 
-    def __call__(self, text: str) -> tuple[str, list[int], list[int]]:
-        tape = (text, list(range(len(text))), list(range(1, len(text) + 1)))
+    def __call__(self, text: str) -> tuple[str, list[int], list[int]] | None:
+        """The text rewritten, or nothing if no rule applies: the rules themselves tell, there is no sign looked for before."""
+        tape = (text, None, None)
         for stage in (self._homoglyphs, self._spelled_numbers, self._addresses, self._digit_shapes):
             tape = _rewritten(tape, list(stage(tape[0])))
-        return tape
+        return tape if tape[1] is not None else None
 
     def _homoglyphs(self, text: str):
         if not text.isascii():
@@ -156,35 +178,53 @@ class Transducer:
 
     def _spelled_numbers(self, text: str):
         for match in self.number.finditer(text):
+            if not re.search(r"[^\W\d_]", match.group()):
+                continue
             # Gaps between digits go; other characters stay as they are.
             parts = [(m.lastgroup, m.start(), m.end(), m.group()) for m in self.token.finditer(text, *match.span())]
             solid = [k for k, part in enumerate(parts) if part[0] != "gap" or part[3] in "+()."]
-            if sum(part[0] == "digit" for part in parts) < 3:
+            n_words = sum(part[0] == "digit" for part in parts)
+            n_digits = n_words + sum(len(part[3]) for part in parts if part[0] == "plain")
+            n_dots = sum(part[0] == "dot" or part[3] == "." for part in parts)
+            four = n_dots >= 3 and n_digits >= 4
+            if not (four or n_words >= 3 or n_words and n_digits >= LEAST_DIGITS):
                 continue
+            beside = {k: (i, j) for i, j in zip(solid, solid[1:]) for k in range(i + 1, j)}
             for k, (kind, start, end, found) in enumerate(parts):
                 if kind == "digit":
                     yield start, end, self.values[found.lower()]
                 elif kind in ("plus", "dot", "dash"):
                     yield start, end, {"plus": "+", "dot": ".", "dash": "-"}[kind]
-                elif kind == "gap" and k not in solid:
-                    yield start, end, ""
+                elif kind == "gap" and found not in "+().":
+                    # Numbers that stand side by side behind an address of four are no part of it.
+                    if not four or any(parts[i][0] != "plain" for i in beside[k]):
+                        yield start, end, ""
 
     def _addresses(self, text: str):
-        yield from ((m.start(), m.end(), "@") for m in self.at.finditer(text))
-        yield from ((m.start(), m.end(), ".") for m in self.dot.finditer(text))
+        if any(mark in text for mark in "([{<@"):
+            yield from ((m.start(), m.end(), "@") for m in self.at.finditer(text))
+            yield from ((m.start(), m.end(), ".") for m in self.dot.finditer(text))
         for match in self.spelled_address.finditer(text):
-            yield from ((m.start(), m.end(), "@") for m in self.bare_at.finditer(text, match.end(1), match.start(2)))
-            yield from ((m.start(), m.end(), ".") for m in self.bare_dot.finditer(text, match.start(2), match.end()))
+            start, end = match.span(match.lastgroup)
+            yield start, end, "@"
+            yield from ((m.start(), m.end(), ".") for m in self.bare_dot.finditer(text, end, match.end()))
+        for match in self.half_spelled.finditer(text):
+            if not self.no_name.fullmatch(text, max(0, match.start() - 40), match.start()):
+                yield match.start(), match.end(), "@"
 
     def _digit_shapes(self, text: str):
         """Letters that look like a digit, with a digit on either side."""
-        for match in re.finditer(r"(?<=[0-9])[OolI|](?=[0-9])", text):
+        for match in self.digit_shape.finditer(text):
             yield match.start(), match.end(), "0" if match.group() in "Oo" else "1"
 
 
 def _rewritten(tape, edits):
     """The tape after edits `(start, end, new text)`; of edits that overlap, the first and longest holds."""
+    if not edits:
+        return tape
     text, begins, ends = tape
+    if begins is None:
+        begins, ends = list(range(len(text))), list(range(1, len(text) + 1))
     out, first, last, at = [], [], [], 0
     for start, end, new in sorted(edits, key=lambda e: (e[0], -e[1])):
         if start < at:
@@ -196,8 +236,6 @@ def _rewritten(tape, edits):
         first += [begins[start]] * len(new)
         last += [ends[end - 1]] * len(new)
         at = end
-    if not at:
-        return tape
     out.append(text[at:])
     return "".join(out), first + begins[at:], last + ends[at:]
 
@@ -205,7 +243,9 @@ def _rewritten(tape, edits):
 def all_spans(text: str, transducer: Transducer) -> tuple[list[Span], list[Span]]:
     """The base spans, and those with the disguised ones. A disguised span within a base span adds nothing."""
     base = base_spans(text)
-    plain, begins, ends = transducer(text)
+    if (tape := transducer(text)) is None:
+        return base, base
+    plain, begins, ends = tape
     covered = [(start, end) for _, start, end in base]
     added = {
         (kind, begins[start], ends[end - 1])

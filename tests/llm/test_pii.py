@@ -54,22 +54,53 @@ def test_disguises_map_back_to_the_source(transducer, text, kind, hidden):
 
 
 @pytest.mark.parametrize(
-    "text",
-    ["we met at home.Then he left", "look at the dot on the map", "one two three go", "un deux trois quatre", "né à l'été, çà et là",
-     "point com", "0O0 1l1", "two plus two dot"],
+    "kind,hidden",
+    [
+        ("email", "jane@example . com"),
+        ("email", "jane at example . com"),
+        ("email", "jane at example.com"),
+        ("email", "kontakt at firma punkt de"),
+        ("email", "ana arroba empresa punto es"),
+        ("email", "bob at mail dot example dot museum"),
+        ("email", "jane at cs dot uni dot it"),
+        ("phone", "plus one 415 five 555 zero 1234"),
+        ("phone", "+1 415 five 55 0199"),
+        ("card", "4111 one 111 1111 1111"),
+        ("ip", "192 dot 168 dot 1 dot 10"),
+        ("ip", "192 dot one six eight dot 1 dot 10"),
+    ],
 )
-def test_plain_texts_stay_alone(transducer, text):
-    assert all_spans(text, transducer) == ([], [])
+def test_more_disguises_in_any_surroundings(transducer, kind, hidden):
+    """Found alone, in a sentence, and beside text that another rule applies to."""
+    for text in (hidden, f"so write {hidden}, please", f"user[at]host[.]org {hidden} é７", f"{hidden} of us"):
+        assert hidden in {text[start:end] for k, start, end in all_spans(text, transducer)[1] if k == kind}, text
 
 
 @pytest.mark.parametrize("mark", ["-", " - ", ", ", ".", "\n", "  ", " ( ", " + "])
 def test_numbers_do_not_need_another_sign(transducer, mark):
     """Whatever stands between digits as words: the same spans with and without a sign elsewhere in the text."""
-    for numbers in (["plus one", "415", "five", "555", "zero", "1234"],):
+    for numbers in (["plus one", "415", "five", "555", "zero", "1234"], ["4111", "one", "111", "1111", "1111"]):
         text = mark.join(numbers)
         assert all_spans(text, transducer)[1] == [s for s in all_spans(text + " user[at]host[.]org", transducer)[1] if s[0] != "email"]
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["visit us at example.com", "it turns at boiling point it says", "at home . It is", "at this point in time", "met at home.It was", "the six of 1990 and one dot"],
+)
+def test_sentences_stay_alone(transducer, text):
+    assert all_spans(text, transducer) == ([], [])
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["we met at home.Then he left", "look at the dot on the map", "one two three go", "un deux trois quatre", "né à l'été, çà et là",
+     "point com", "0O0 1l1", "two plus two dot"],
+)
+def test_plain_texts_stay_alone(transducer, text):
+    assert all_spans(text, transducer) == ([], [])
+
+
 def test_tape_keeps_places(transducer):
     text = "é１ four five six (at) x"
     plain, begins, ends = transducer(text)
