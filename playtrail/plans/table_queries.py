@@ -33,6 +33,7 @@ from playtrail.plans.table_views import (
     browse_view,
     city_ranges,
     daily_view,
+    table,
     topic_messages,
 )
 from playtrail.schema import BROWSE_COLUMNS
@@ -76,7 +77,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MONTH = 1  # the month the test events fall into
 TOP_N = 10
-WHOLE_SPAN = "60 days"  # longer than the time the test events span, in whatever order they come
 TOTALS_PARTITIONS = 8  # totals are few and summed before they are shuffled
 
 
@@ -277,9 +277,15 @@ def downloads_by_hour_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept_sums(_downloads(spark, sf_dir), total, "downloads-sums")
 
 
+def _whole_span(spark: SparkSession, sf_dir: str) -> str:
+    """A day more than the time the events span: in whatever order they come, none is behind such a watermark."""
+    seconds = F.unix_timestamp(F.max("ts")) - F.unix_timestamp(F.min("ts"))
+    return f"{86_400 + (table(spark, sf_dir, 'events').agg(seconds).first()[0] or 0)} seconds"
+
+
 def payments_by_minute_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals behind a watermark, of which each batch writes only the days it changes."""
-    totals = running_payments(_payments(spark, sf_dir), "minute", watermark=WHOLE_SPAN)
+    totals = running_payments(_payments(spark, sf_dir), "minute", watermark=_whole_span(spark, sf_dir))
     return read_daily(spark, _finish(keep_daily, totals, "payments-daily", TOTALS_PARTITIONS))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from playtrail.plans import start_live
 from playtrail.plans.live import read_rows
+from playtrail.plans.table_queries import payments_by_minute_daily
 from playtrail.schema import TOPIC_MESSAGE
 from playtrail.sources import kafka_options, read_topic_files
 from playtrail.streaming import (
@@ -348,3 +349,14 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "latest",
         "kafka.group.id": "g", "maxOffsetsPerTrigger": "10",
     }
+
+
+def test_daily_payments_of_events_over_years(spark, tmp_path):
+    """The newest event comes first: none of the older ones is behind the watermark."""
+    days = F.when(F.col("id") < 3, 900).otherwise(F.col("id") * 30)
+    ts = (F.lit("2024-01-01 10:00:00").cast("timestamp") + F.make_dt_interval(days)).alias("ts")
+    rest = [F.lit(7).cast("bigint").alias("user_id"), F.lit("purchase").alias("event_type"), F.lit(2.0).alias("value"), F.lit('{"k": 3}').alias("props")]
+    events = spark.range(30).coalesce(1).select(F.col("id").alias("event_id"), ts, *rest)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    found = payments_by_minute_daily(spark, str(tmp_path))
+    assert found.agg(F.sum("orders")).first()[0] == 30
