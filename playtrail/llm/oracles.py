@@ -1,5 +1,8 @@
 """The queries that SQL can express, in DuckDB's SQL over the same tables."""
 
+import re
+
+from playtrail.llm.chat import TEMPLATE
 from playtrail.llm.mixing import LONG_TEXT, MAX_ODDS, SEED
 from playtrail.llm.quality import STOP_WORDS, _forms
 
@@ -143,5 +146,88 @@ FROM plain WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULL
 """
 
 
+OP11 = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, row_number() OVER () AS row
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row AS other, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM given a JOIN given b ON a.row <> b.row
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id NULLS LAST) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id NULLS LAST))::INT AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n USING (anchor)
+WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id NULLS LAST) <= 3
+"""
+
+
+def _op12() -> str:
+    def shown(text: str) -> str:
+        firsts = "|".join(re.escape(mark[0]) for mark in dict.fromkeys(m[0] for m in TEMPLATE.control))
+        rests = "|".join(re.escape(mark) for mark in TEMPLATE.control)
+        # RE2 can't look ahead; the template's marks don't overlap, so each is taken whole and its first character split off.
+        return rf"regexp_replace(regexp_replace(replace({text}, '\', '\\'), '({rests})', chr(1) || '\1', 'g'), chr(1) || '({firsts})', '\1\\', 'g')"
+
+    marks = " ".join(f"WHEN '{role}' THEN {len(own.before) + len(own.after)}" for role, own in TEMPLATE.roles.items())
+    return rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length({shown('text')}) + CASE role {marks} ELSE {sum(map(len, TEMPLATE.other))} + length({shown('role')}) END AS size
+  FROM given)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+OP13 = r"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+asked AS (
+  SELECT item_id, row_number() OVER () AS item,
+         list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM benchmark),
+wanted AS (SELECT item_id, item, unnest(terms) AS term FROM asked),
+sizes AS (SELECT doc_id, row, len(terms)::BIGINT AS n FROM split WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS all_terms FROM sizes),
+posts AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM split) GROUP BY row, term),
+useful AS (SELECT * FROM posts SEMI JOIN wanted USING (term)),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM useful, totals GROUP BY term, docs),
+gains AS (
+  SELECT u.row, u.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // all_terms))) AS gain
+  FROM useful u JOIN weights USING (term) JOIN sizes USING (row), totals),
+scores AS (SELECT item, item_id, row, sum(gain)::BIGINT AS score FROM wanted JOIN gains USING (term) GROUP BY item, item_id, row),
+ranked AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score
+  FROM scores JOIN sizes USING (row) WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_substring_dedup": OP2, "op6_ngram_join": OP6, "op4_quality_rules": OP4, "op8_mixing": OP8, "op9_exact_dedup": OP9}
+    return {
+        "op2_substring_dedup": OP2,
+        "op6_ngram_join": OP6,
+        "op4_quality_rules": OP4,
+        "op8_mixing": OP8,
+        "op9_exact_dedup": OP9,
+        "op11_hard_negatives": OP11,
+        "op12_chat_formatting": _op12(),
+        "op13_ranked_search": OP13,
+    }
