@@ -1,20 +1,12 @@
 """The whole streaming run: every running figure of the two message topics at once."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playtrail.streaming import (
-    add_sums,
-    exclude_users,
-    parse_downloads,
-    parse_payments,
-    rejected_messages,
-    running_downloads,
-    running_payments,
-    sliding_downloads,
-    sliding_payments,
-)
+from playtrail.streaming.blocklist import flag_blocked
+from playtrail.streaming.events import parse_messages
+from playtrail.streaming.runs import FOLD_EVERY, changes_of, read_run_rows, write_batch, write_settings
 from playtrail.streaming.tables import MICRO_BATCH, start_batches
 
 WINDOW_KEYS = ("window_start", "window_end")
@@ -26,56 +18,48 @@ TOTAL_TABLES = (
     "downloads", "payments", "downloads_not_blocked_totals", "payments_not_blocked_totals",
     "downloads_sliding", "payments_sliding",
 )
+_EVENT = ["time", "day", "hour", "minute", "event_time", "user_id", "game_id"]
 
 
 def start_live(
     messages: DataFrame, blocked: DataFrame, root: str, checkpoints: str,
     download_topic: str, payment_topic: str, grain: str = "day", pooled: bool = False,
-    every: str = MICRO_BATCH, available_now: bool = False, salt: int = 8,
+    every: str = MICRO_BATCH, available_now: bool = False, salt: int = 8, fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Start the one query that fills every table below `root`.
 
-    A batch is read and parsed once, and filtered by the blocklist once. Its rows go to folders of
-    their own (`read_rows`); its sums are added to tables of totals and of sliding windows, of which
-    only the days that it touches are written again (`read_daily`). The query has no state: an event
-    counts however late it comes, and every window is there when the run ends. A repeated batch changes nothing.
+    A batch is read, parsed and held against the blocklist once. Its rows are written in one go and the changes
+    of all its totals in another; then one mark makes them visible in every table together. The query has no
+    state: an event counts however late it comes, and every window is there when the run ends. A repeated batch
+    changes nothing.
+
+    `read_rows` reads a table of rows, `read_daily` one of totals in `grain` or of ten-second windows. All
+    other grains and windows are there as well, for `read_totals` and `read_windows`.
     """
-    by_window = {"keys": WINDOW_KEYS, "day": F.date_format("window_start", "yyyyMMdd")}
-    # Pooled buckets belong to no day; there are never more than 1440 of them.
-    by_bucket: dict[str, Column] = {"day": F.lit("pooled")} if pooled else {}
+    write_settings(messages.sparkSession, root, grain=grain, pooled=pooled)
+    kind = F.col("kind")
+    open_table = F.concat(kind, F.lit("_not_blocked"))
+    counted = F.when(F.col("blocked"), F.array(kind)).otherwise(F.array(kind, F.concat(open_table, F.lit("_totals"))))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        kept = batch.persist()
+        events = flag_blocked(parse_messages(batch, download_topic, payment_topic), blocked, salt).persist()
         try:
-            kinds = (
-                ("downloads", parse_downloads, download_topic, running_downloads, sliding_downloads),
-                ("payments", parse_payments, payment_topic, running_payments, sliding_payments),
-            )
-            for name, parse, topic, running, sliding in kinds:
-                events = parse(kept, topic).persist()
-                try:
-                    add_sums(running(events, grain, pooled), batch_id, f"{root}/{name}", **by_bucket)
-                    add_sums(sliding(events), batch_id, f"{root}/{name}_sliding", **by_window)
-                    rows = f"{root}/{name}_not_blocked"
-                    put_rows(exclude_users(events, blocked, salt), batch_id, rows)
-                finally:
-                    events.unpersist()
-                open_events = spark.read.schema(events.schema).parquet(f"{rows}/batch={batch_id}")
-                add_sums(running(open_events, grain, pooled), batch_id, f"{rows}_totals", **by_bucket)
-            put_rows(rejected_messages(kept, download_topic), batch_id, f"{root}/downloads_rejected")
-            put_rows(rejected_messages(kept, payment_topic, payment=True), batch_id, f"{root}/payments_rejected")
+            fine = F.col("reason").isNull()
+            table = F.when(fine, open_table).otherwise(F.concat(kind, F.lit("_rejected")))
+            rows = events.where(~fine | ~F.col("blocked")).withColumn("table", table)
+            kept = rows.withColumn("value", F.when(~fine, F.col("value"))).drop("kind", "blocked")
+            write_batch(batch.sparkSession, root, batch_id, changes_of(events.where(fine), counted, F.array(kind)), kept, fold_every)
         finally:
-            kept.unpersist()
+            events.unpersist()
 
     return start_batches(messages, write, checkpoints, every, available_now)
 
 
-def put_rows(rows: DataFrame, batch_id: int, path: str) -> None:
-    """Write the rows of a batch to a folder of its own; a repeated batch replaces it."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-
-def read_rows(spark, path: str) -> DataFrame:
-    """The rows of all batches that a run has put there."""
-    return spark.read.parquet(path).drop("batch")
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of one table of a run (`<root>/<table>`), of all batches that are whole."""
+    root, table = path.rstrip("/").rsplit("/", 1)
+    if table.endswith("_rejected"):
+        columns = ["topic", "value", "reason"]
+    else:
+        columns = [*_EVENT, "order_id", "paid", "fee"] if table.startswith("payments") else _EVENT
+    return read_run_rows(spark, root, table).select(*columns)

@@ -201,25 +201,70 @@ TOPIC_REJECTS = """
     WHERE event_type <> 'purchase'"""
 
 
+# Name, number of events and SQL of each output.
+LIVE_TABLES = (
+    ("downloads", "sum(downloads)", _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, "day")),
+    ("payments", "sum(orders)", _totals([PAYMENTS], "p", PAYMENT_SUMS, "day")),
+    (
+        "downloads_not_blocked_totals", "sum(downloads)",
+        _totals([DOWNLOADS, BLOCKED], "d", DOWNLOAD_COUNT, "day", NOT_BLOCKED),
+    ),
+    (
+        "payments_not_blocked_totals", "sum(orders)",
+        _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),
+    ),
+    ("downloads_sliding", "sum(downloads)", _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT)),
+    ("payments_sliding", "sum(orders)", _sliding(PAYMENTS, "p", PAYMENT_SUMS)),
+    ("downloads_rejected", "count(*)", "SELECT 1 FROM events WHERE FALSE"),
+    ("payments_rejected", "count(*)", "SELECT 1 FROM events WHERE FALSE"),
+    ("downloads_not_blocked", "count(*)", DOWNLOADS_NOT_BLOCKED),
+    ("payments_not_blocked", "count(*)", PAYMENTS_NOT_BLOCKED),
+)
+
 LIVE = " UNION ALL ".join(
     f"SELECT '{name}' AS output, count(*) AS result_rows, CAST({events} AS BIGINT) AS events FROM ({sql})"
-    for name, events, sql in (
-        ("downloads", "sum(downloads)", _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, "day")),
-        ("payments", "sum(orders)", _totals([PAYMENTS], "p", PAYMENT_SUMS, "day")),
-        (
-            "downloads_not_blocked_totals", "sum(downloads)",
-            _totals([DOWNLOADS, BLOCKED], "d", DOWNLOAD_COUNT, "day", NOT_BLOCKED),
-        ),
-        (
-            "payments_not_blocked_totals", "sum(orders)",
-            _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),
-        ),
-        ("downloads_sliding", "sum(downloads)", _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT)),
-        ("payments_sliding", "sum(orders)", _sliding(PAYMENTS, "p", PAYMENT_SUMS)),
-        ("downloads_rejected", "count(*)", "SELECT 1 FROM events WHERE FALSE"),
-        ("payments_rejected", "count(*)", "SELECT 1 FROM events WHERE FALSE"),
-        ("downloads_not_blocked", "count(*)", DOWNLOADS_NOT_BLOCKED),
-        ("payments_not_blocked", "count(*)", PAYMENTS_NOT_BLOCKED),
+    for name, events, sql in LIVE_TABLES
+)
+
+
+def _as_values(name: str, columns: str, sql: str) -> str:
+    """Every column's value by its name, times to the second."""
+    times = ("event_time", "window_start", "window_end")
+    values = [
+        f"'{c}=' || coalesce(" + (f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c in times else f"CAST({c} AS VARCHAR)") + ", 'null')"
+        for c in sorted(columns.split())
+    ]
+    return f"SELECT '{name}' AS output, {" || ';' || ".join(values)} AS row FROM ({sql})"
+
+
+_EVENT = "time day hour minute event_time user_id game_id"
+# The row tables also have the game.
+_GAME = " user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS game_id"
+LIVE_ROWS = " UNION ALL ".join(
+    [
+        _as_values(name, f"bucket {sums}", sql) if "sliding" not in name else _as_values(name, f"window_start window_end {sums}", sql)
+        for name, events, sql in LIVE_TABLES[:6]
+        for sums in ["downloads" if "downloads" in events else "orders paid fee_total fee_paid"]
+    ]
+    + [
+        _as_values("downloads_not_blocked", _EVENT, _with(DOWNLOADS.replace(" user_id", _GAME), BLOCKED) + f"SELECT e.*, {TIME_PARTS} FROM d e WHERE {NOT_BLOCKED}"),
+        _as_values("payments_not_blocked", f"{_EVENT} order_id paid fee", _with(PAYMENTS.replace(" user_id", _GAME), BLOCKED) + f"SELECT e.*, {TIME_PARTS} FROM p e WHERE {NOT_BLOCKED}"),
+    ]
+)
+
+EVERY_GRAIN = {
+    "downloads": " UNION ALL ".join(f"SELECT '{name}' AS grain, * FROM ({_totals([DOWNLOADS], 'd', DOWNLOAD_COUNT, name)})" for name in BUCKETS),
+    "payments": " UNION ALL ".join(f"SELECT '{name}' AS grain, * FROM ({_totals([PAYMENTS], 'p', PAYMENT_SUMS, name)})" for name in BUCKETS),
+}
+
+
+BATCH_ROWS = " UNION ALL ".join(
+    _as_values(name, columns, sql)
+    for name, columns, sql in (
+        ("by_month", "month game_name game_id times", STAT_MONTH),
+        ("by_city", "city game_id game_name times ranks", STAT_CITY),
+        ("by_phone_model", "phonemodel times", STAT_PHONE),
+        ("by_hour", "hour times", BY_HOUR),
     )
 )
 
@@ -256,6 +301,7 @@ def table_oracles() -> dict[str, str]:
         "stat_sink_hour": BY_HOUR,
         "stat_sink_empty_month": f"SELECT * FROM ({STAT_MONTH}) WHERE FALSE",
         "batch_reports": BATCH,
+        "batch_report_rows": BATCH_ROWS,
         "downloads_by_hour_daily": _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, "hour"),
         "payments_by_minute_daily": _totals([PAYMENTS], "p", PAYMENT_SUMS, "minute"),
         "downloads_sliding": _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT),
@@ -266,6 +312,9 @@ def table_oracles() -> dict[str, str]:
         "payments_by_day_not_blocked": _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),
         "topic_rejects": TOPIC_REJECTS,
         "live_run": LIVE,
+        "live_run_rows": LIVE_ROWS,
+        "downloads_every_grain": EVERY_GRAIN["downloads"],
+        "payments_every_grain": EVERY_GRAIN["payments"],
     }
     for name in BUCKETS:
         found[f"downloads_by_{name}"] = _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, name)

@@ -23,7 +23,7 @@ from playtrail.operators import (
 )
 from playtrail.operators.keyed import BROWSE_KEY, latest_per_key
 from playtrail.plans.batch import run_batch
-from playtrail.plans.live import ROW_TABLES, TOTAL_TABLES, WINDOW_KEYS, read_rows, start_live
+from playtrail.plans.live import ROW_TABLES, TOTAL_TABLES, read_rows, start_live
 from playtrail.plans.table_views import (
     DOWNLOADS,
     PAYMENTS,
@@ -62,21 +62,23 @@ from playtrail.streaming import (
     keep_daily,
     keep_snapshot,
     keep_sums,
+    keep_totals,
     parse_downloads,
     parse_payments,
     read_daily,
     read_snapshot,
+    read_totals,
+    read_windows,
     rejected_messages,
     running_downloads,
     running_payments,
-    sliding_downloads,
-    sliding_payments,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MONTH = 1  # the month the test events fall into
 TOP_N = 10
+GRAIN_FORMS = (("day", False), ("hour", False), ("minute", False), ("hour", True), ("minute", True))
 TOTALS_PARTITIONS = 8  # totals are few and summed before they are shuffled
 
 
@@ -138,20 +140,28 @@ def clean_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(read_clean_log(spark, stored))
 
 
-def batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole batch run, summed up: rows and visits of each result table."""
+def _batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The result tables of a whole batch run."""
     text, stored, root = (new_folder(spark, label) for label in ("batch-text", "batch-clean", "batch-stat"))
     write_browse_log(browse_view(spark, sf_dir), text)
     run_batch(spark, text, stored, city_ranges(spark, sf_dir), MONTH, stat_root=root)
+    return {report: read_stat(spark, report, root) for report in STAT_TABLES}
+
+
+def batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch run, summed up: rows and visits of each result table."""
     summaries = [
-        read_stat(spark, report, root).agg(
-            F.lit(report).alias("report"), F.count("*").alias("result_rows"), F.sum("times").alias("visits")
-        )
-        for report in STAT_TABLES
+        rows.agg(F.lit(report).alias("report"), F.count("*").alias("result_rows"), F.sum("times").alias("visits"))
+        for report, rows in _batch(spark, sf_dir).items()
     ]
     return reduce(DataFrame.unionByName, summaries)
 
 
+def batch_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every result table of the batch run."""
+    return reduce(DataFrame.unionByName, [_as_values(report, rows) for report, rows in _batch(spark, sf_dir).items()])
+
+
 # Keyed tables
 
 
@@ -252,12 +262,34 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_payments(_stream_of(topic_messages(spark, sf_dir)), PAYMENTS)
 
 
+def _totals_of(events: DataFrame, table: str) -> str:
+    """Where a run keeps the totals of these events in every grain."""
+    spark = events.sparkSession
+    root, checkpoint = new_folder(spark, table), new_folder(spark, f"{table}-checkpoint")
+    keep_totals(events, table, root, checkpoint, available_now=True).awaitTermination()
+    return root
+
+
 def _downloads_by(grain: str, pooled: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshot_of(running_downloads(_downloads(spark, sf_dir), grain, pooled), "downloads")
+    if pooled:
+        return _snapshot_of(running_downloads(_downloads(spark, sf_dir), grain, pooled), "downloads")
+    return read_totals(spark, _totals_of(_downloads(spark, sf_dir), "downloads"), "downloads", grain)
 
 
 def _payments_by(grain: str, pooled: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshot_of(running_payments(_payments(spark, sf_dir), grain, pooled), "payments")
+    if pooled:
+        return _snapshot_of(running_payments(_payments(spark, sf_dir), grain, pooled), "payments")
+    return read_totals(spark, _totals_of(_payments(spark, sf_dir), "payments"), "payments", grain)
+
+
+def _every_grain(table: str, events: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals of one run in all grains, also pooled ones."""
+    root = _totals_of(events(spark, sf_dir), table)
+    found = [
+        read_totals(spark, root, table, grain, pooled).select(F.lit(f"{grain}_pooled" if pooled else grain).alias("grain"), "*")
+        for grain, pooled in GRAIN_FORMS
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def _kept_sums(events: DataFrame, total: Callable, label: str, **settings) -> DataFrame:
@@ -268,10 +300,6 @@ def _kept_sums(events: DataFrame, total: Callable, label: str, **settings) -> Da
     return _plain_times(read_daily(spark, path))
 
 
-def _by_window() -> dict:
-    return {"keys": WINDOW_KEYS, "day": F.date_format("window_start", "yyyyMMdd")}
-
-
 def downloads_by_hour_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = partial(running_downloads, grain="hour")
     return _kept_sums(_downloads(spark, sf_dir), total, "downloads-sums")
@@ -290,11 +318,11 @@ def payments_by_minute_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def downloads_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _kept_sums(_downloads(spark, sf_dir), sliding_downloads, "downloads-sliding", **_by_window())
+    return _plain_times(read_windows(spark, _totals_of(_downloads(spark, sf_dir), "downloads"), "downloads"))
 
 
 def payments_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _kept_sums(_payments(spark, sf_dir), sliding_payments, "payments-sliding", **_by_window())
+    return _plain_times(read_windows(spark, _totals_of(_payments(spark, sf_dir), "payments"), "payments"))
 
 
 def downloads_not_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,22 +350,36 @@ def topic_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(rejected_messages(messages, PAYMENTS, payment=True).select("value", "reason"), "rejects")
 
 
-def live_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole streaming run, summed up: rows and events of its tables."""
+def _live(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables of a whole streaming run over three batches, folded once in between."""
     root, checkpoints = new_folder(spark, "live"), new_folder(spark, "live-checkpoints")
     messages, blocked = _stream_of(topic_messages(spark, sf_dir)), _blocked_table(spark, sf_dir)
-    start_live(messages, blocked, root, checkpoints, DOWNLOADS, PAYMENTS, available_now=True).awaitTermination()
-    found = {name: (read_rows(spark, f"{root}/{name}"), F.count("*")) for name in ROW_TABLES}
-    for name in TOTAL_TABLES:
-        rows = read_daily(spark, f"{root}/{name}")
-        found[name] = rows, F.sum("downloads" if "downloads" in rows.columns else "orders")
-    summaries = [
-        rows.agg(F.lit(name).alias("output"), F.count("*").alias("result_rows"), events.alias("events"))
-        for name, (rows, events) in found.items()
-    ]
+    start_live(messages, blocked, root, checkpoints, DOWNLOADS, PAYMENTS, available_now=True, fold_every=2).awaitTermination()
+    rows = {name: read_rows(spark, f"{root}/{name}") for name in ROW_TABLES}
+    return rows | {name: read_daily(spark, f"{root}/{name}") for name in TOTAL_TABLES}
+
+
+def live_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming run, summed up: rows and events of its tables."""
+    summaries = []
+    for name, rows in _live(spark, sf_dir).items():
+        events = F.count("*") if name in ROW_TABLES else F.sum("downloads" if "downloads" in rows.columns else "orders")
+        summaries.append(rows.agg(F.lit(name).alias("output"), F.count("*").alias("result_rows"), events.alias("events")))
     return reduce(DataFrame.unionByName, summaries)
 
 
+def _as_values(name: str, rows: DataFrame) -> DataFrame:
+    """The rows of a table as text: its name, and every column's value by its name."""
+    shown = [F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind.startswith("timestamp") else F.col(c).cast("string") for c, kind in rows.dtypes]
+    values = [F.concat(F.lit(f"{c}="), F.coalesce(value, F.lit("null"))) for c, value in sorted(zip(rows.columns, shown, strict=True), key=lambda x: x[0])]
+    return rows.select(F.lit(name).alias("output"), F.concat_ws(";", *values).alias("row"))
+
+
+def live_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of every table of the streaming run."""
+    return reduce(DataFrame.unionByName, [_as_values(name, rows) for name, rows in _live(spark, sf_dir).items()])
+
+
 def stat_sink_empty_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The month table after its month was filled and then written again without rows."""
     root = new_folder(spark, "stat")
@@ -382,8 +424,9 @@ def table_queries() -> dict[str, Query]:
         "stat_sink_hour": partial(_stat_sink, "by_hour"),
         "stat_sink_empty_month": stat_sink_empty_month,
         "batch_reports": batch_reports,
+        "batch_report_rows": batch_report_rows,
     }
-    for grain, pooled in (("day", False), ("hour", False), ("minute", False), ("hour", True), ("minute", True)):
+    for grain, pooled in GRAIN_FORMS:
         suffix = f"{grain}_pooled" if pooled else grain
         found[f"downloads_by_{suffix}"] = partial(_downloads_by, grain, pooled)
         found[f"payments_by_{suffix}"] = partial(_payments_by, grain, pooled)
@@ -398,5 +441,8 @@ def table_queries() -> dict[str, Query]:
         "payments_by_day_not_blocked": payments_by_day_not_blocked,
         "topic_rejects": topic_rejects,
         "live_run": live_run,
+        "live_run_rows": live_run_rows,
+        "downloads_every_grain": partial(_every_grain, "downloads", _downloads),
+        "payments_every_grain": partial(_every_grain, "payments", _payments),
     }
     return found

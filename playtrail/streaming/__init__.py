@@ -1,11 +1,13 @@
-from playtrail.streaming.blocklist import exclude_users
-from playtrail.streaming.events import parse_downloads, parse_payments, rejected_messages
+from playtrail.streaming.blocklist import exclude_users, flag_blocked
+from playtrail.streaming.events import parse_downloads, parse_messages, parse_payments, rejected_messages
+from playtrail.streaming.runs import newest_batch, read_totals, read_windows
 from playtrail.streaming.tables import (
     add_sums,
     append_rows,
     keep_daily,
     keep_snapshot,
     keep_sums,
+    keep_totals,
     read_daily,
     read_snapshot,
 )
@@ -20,13 +22,19 @@ __all__ = [
     "add_sums",
     "append_rows",
     "exclude_users",
+    "flag_blocked",
     "keep_daily",
     "keep_snapshot",
     "keep_sums",
+    "keep_totals",
+    "newest_batch",
     "parse_downloads",
+    "parse_messages",
     "parse_payments",
     "read_daily",
     "read_snapshot",
+    "read_totals",
+    "read_windows",
     "rejected_messages",
     "running_downloads",
     "running_payments",

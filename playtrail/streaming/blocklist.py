@@ -19,3 +19,16 @@ def exclude_users(events: DataFrame, blocked: DataFrame, salt: int = 8) -> DataF
     salted = events.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salt)))
     copies = users.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return salted.join(copies, ["user_id", "_salt"], "left_anti").select(*events.columns)
+
+
+def flag_blocked(events: DataFrame, blocked: DataFrame, salt: int = 8) -> DataFrame:
+    """The events with a column `blocked`: whether their `user_id` is in the list. Join and salt as in `exclude_users`."""
+    users = blocked.select(F.col("user_id").cast("bigint").alias("user_id")).distinct()
+    if salt <= 1:
+        listed = users.withColumn("_listed", F.lit(True))
+        joined = events.join(listed, "user_id", "left")
+    else:
+        salted = events.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salt)))
+        copies = users.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))).withColumn("_listed", F.lit(True))
+        joined = salted.join(copies, ["user_id", "_salt"], "left")
+    return joined.select(*events.columns, F.col("_listed").isNotNull().alias("blocked"))

@@ -40,6 +40,23 @@ def rejected_messages(messages: DataFrame, topic: str | None = None, payment: bo
     return computed_once(read).filter(F.col("reason").isNotNull())
 
 
+def parse_messages(messages: DataFrame, download_topic: str, payment_topic: str) -> DataFrame:
+    """The messages of both topics, parsed once: `kind` (downloads or payments), `topic`, `value`, `reason`, and the
+    columns of orders.
+
+    `reason` is null for those that count; a download has no fee and isn't paid. Other topics are left out.
+    """
+    payment = F.col("kind") == "payments"
+    kind = F.when(F.col("topic") == payment_topic, "payments").when(F.col("topic") == download_topic, "downloads")
+    read = computed_once(_read(messages, None, payment=True).select(kind.alias("kind"), "topic", "value", *_PAYMENT_COLUMNS))
+    reason = F.when(payment, _reason(payment=True)).otherwise(_reason(payment=False))
+    none = F.lit(0).cast("bigint")
+    return read.where("kind is not null").select(
+        "kind", "topic", "value", reason.alias("reason"), *_time_columns(), "user_id", "game_id", "order_id",
+        F.when(payment, F.col("paid")).otherwise(none).alias("paid"), F.when(payment, F.col("fee")).otherwise(none).alias("fee"),
+    )
+
+
 def _read(messages: DataFrame, topic: str | None, payment: bool) -> DataFrame:
     if topic is not None:
         messages = messages.filter(F.col("topic") == topic)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 from playtrail.functions import day_of
+from playtrail.streaming import runs
 
 MICRO_BATCH = "5 seconds"
 
@@ -82,6 +83,25 @@ def keep_sums(
     return start_batches(events, write, checkpoint, every, available_now)
 
 
+def keep_totals(
+    events: DataFrame, table: str, root: str, checkpoint: str, every: str = MICRO_BATCH, available_now: bool = False,
+    fold_every: int = runs.FOLD_EVERY,
+) -> StreamingQuery:
+    """Keep the totals of parsed downloads or payments in every grain, and their panes.
+
+    `read_totals` and `read_windows` read them. The query has no state and no watermark: an event counts
+    in its own time, however late it comes. A table whose name begins with "downloads" has a count only.
+    """
+    if table.startswith("downloads"):
+        events = events.withColumns({"paid": F.lit(0).cast("bigint"), "fee": F.lit(0).cast("bigint")})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changes = runs.changes_of(batch, F.array(F.lit(table)))
+        runs.write_batch(batch.sparkSession, root, batch_id, changes, fold_every=fold_every)
+
+    return start_batches(events, write, checkpoint, every, available_now)
+
+
 def start_batches(
     rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str, available_now: bool
 ) -> StreamingQuery:
@@ -140,7 +160,13 @@ def replace_days(
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    """The newest rows of each day, up to the newest batch that is whole."""
+    """The newest rows of each day, up to the newest batch that is whole.
+
+    `path` is a table of its own, or `<root>/<table>` of a run, which is read in the grain it was started with.
+    """
+    run = runs.read_table(spark, path)
+    if run is not None:
+        return run
     rows = spark.read.parquet(f"{path}/rows").filter(F.col("batch_id") <= _newest_mark(spark, path))
     newest = rows.groupBy("day").agg(F.max_by("slot", "batch_id").alias("slot"))
     return rows.join(newest, ["day", "slot"], "left_semi").drop("batch_id", "day", "slot")
