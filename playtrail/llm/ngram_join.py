@@ -17,13 +17,13 @@ SIMILARITY_PERCENT = 80
 # Counters of how often columns occur; each is one byte when broadcast.
 MAX_RARITY_CELLS = 1 << 25
 _SEGMENT = 1 << 14
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FILTER_BITS_PER_COLUMN = 8
-# Blocks of the product: classes on a side, and rows that meet in a task.
-CLASSES_PER_CHUNK = 2048
-ROWS_PER_BLOCK = 200_000
-# Pairs that are verified at a time: two sets each.
-PAIRS_PER_BATCH = 500
+# Blocks of the product: classes on a side, rows that meet in a task, n-grams of whole sets on a side.
+CLASSES_PER_CHUNK = 512
+ROWS_PER_BLOCK = 50_000
+GRAMS_PER_CHUNK = 1 << 20
+# N-grams that fewer classes of a block have are counted pair by pair, the others as columns of a dense matrix.
+_DENSE = 24
 _VALUES = byte_values(6)
 
 
@@ -192,13 +192,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("key").alias("a"), F.col("grams").alias("left_grams"))
     right = sets.select(F.col("key").alias("b"), F.col("grams").alias("right_grams"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left_grams", "right_grams")
-    conf = pairs.sparkSession.conf
-    before = conf.get(_BATCH)
-    conf.set(_BATCH, str(PAIRS_PER_BATCH))
-    try:
-        return stored(rows.mapInArrow(_overlaps(percent), "a bigint, b bigint, linked boolean"), "ngram-pairs")
-    finally:
-        conf.set(_BATCH, before)
+    return stored(rows.mapInArrow(_overlaps(percent), "a bigint, b bigint, linked boolean"), "ngram-pairs")
 
 
 def may_reach(one: Column, other: Column, percent: int) -> Column:
@@ -210,9 +204,9 @@ def _ordered(one: Column, other: Column) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def _sets_of(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """The sets of the classes in candidate pairs."""
-    keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "ngram-keys")
+def _sets_of(keys: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """The sets of these classes."""
+    keys = stored(keys.distinct(), "ngram-keys")
     bits = filter_bits(keys.count(), 16)
     wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")).distinct(), bits)
     sets = texts.select("text").mapInArrow(_kept_sets(n, wanted, bits), "key bigint, grams binary")
@@ -233,12 +227,13 @@ def _least_common(one: Column, other: Column, percent: int) -> Column:
 def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_columns: int) -> DataFrame:
     """Links `(a, b)` between classes of equal sets that connect exactly the classes that similarity connects.
 
-    The product runs over the columns of prefixes, a fifth of all. First each column's classes are
+    The product runs over the columns of prefixes first, a fifth of all. Each column's classes are
     multiplied with the column's leader only; sums that are large enough are verified on whole sets and
     joined to components, which gathers large groups of near copies without all their pairs. Then the
-    entries of different components follow, all of them, block by block; those whose sum stays below the bound from
-    the two sizes go, the rest is verified. Columns with the same classes are multiplied once, with
-    their number as weight.
+    entries of different components follow, all of them, block by block; classes without a sum that reaches the bound
+    from the two sizes go. For the others the blocks of the product of whole sets are made, and a block passes
+    on the links that connect its components, of which there are fewer than classes. Columns with the same classes
+    are multiplied once, with their number as weight.
     """
     levels = rarity_levels(texts, n, rarity_cells(n_entries))
     columns = texts.mapInArrow(_prefixes(n, percent, levels), "column bigint")
@@ -258,12 +253,10 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_co
     members = stored(members.join(degree, "key"), "ngram-members")
 
     pairs = stored(_against_leaders(members, percent), "ngram-candidates")
-    first = verified(pairs, _sets_of(pairs, texts, n), percent)
-    joined = components(first.where("linked"))
-    rest = _products(_open(members, joined), percent).distinct().join(first, ["a", "b"], "left_anti")
-    rest = stored(rest, "ngram-rest")
-    second = verified(rest, _sets_of(rest, texts, n), percent)
-    return first.where("linked").unionByName(second.where("linked")).select("a", "b")
+    in_pairs = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+    first = verified(pairs, _sets_of(in_pairs, texts, n), percent).where("linked").select("a", "b")
+    near = stored(_products(_open(members, components(first)), percent), "ngram-near")
+    return first.unionByName(_forests(near, _sets_of(near.select("key"), texts, n), percent))
 
 
 def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -278,37 +271,50 @@ def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
     return placed.join(placed.groupBy("key").agg(F.count_distinct("hub").alias("hubs")), "key")
 
 
+def _in_blocks(rows: DataFrame, chunks: DataFrame, per_block: int, n_rows: Column) -> DataFrame:
+    """The rows of each hub in blocks of two chunks: `low` and `high`, and `block`, which several small ones share."""
+    chunked = rows.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(2)), F.col("chunks")).cast("int"))
+    copies = chunked.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    n_copies = chunked.agg(F.coalesce(F.sum(n_rows * F.col("chunks")), F.lit(0))).first()[0]
+    n_blocks = max(8 * rows.sparkSession.sparkContext.defaultParallelism, int(n_copies) // per_block)
+    sides = copies.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("chunks", "other")
+    return sides.withColumn("block", F.pmod(F.xxhash64("hub", "low", "high"), F.lit(n_blocks)))
+
+
+def _each_block(table: pa.Table, order: list[str]):
+    """The blocks in a group, each as arrays whose rows are sorted by `order`."""
+    columns = {c: table.column(c).to_numpy() for c in table.column_names if c != "grams"}
+    sorted_by = np.lexsort([columns[c] for c in reversed(["hub", "low", "high", *order])])
+    columns = {c: v[sorted_by] for c, v in columns.items()}
+    new_block = np.flatnonzero(np.r_[True, np.any([np.diff(columns[c]) != 0 for c in ("hub", "low", "high")], axis=0), True])
+    for a, b in zip(new_block[:-1], new_block[1:], strict=True):
+        yield {c: v[a:b] for c, v in columns.items()}, sorted_by[a:b]
+
+
 def _products(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components whose common columns can reach the bound.
+    """`hub, key, component, size` of the classes whose common columns with one of another component can reach the bound.
 
     The matrix is cut into blocks: columns by their hub, classes of a hub into chunks, so that a block is a product of
     two chunks and a group of any size spreads over tasks. A pair's columns may lie with several
     hubs; then one of them has at least their share of the bound, and a block keeps the pairs that reach such a share.
     """
     chunks = members.groupBy("hub").agg(F.ceil(F.approx_count_distinct("key") / CLASSES_PER_CHUNK).cast("int").alias("chunks"))
-    rows = members.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(2)), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    rows = rows.select("hub", "column", "weight", "key", "size", "component", "hubs", "chunk", other.alias("other"))
-    rows = rows.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
-    n_blocks = max(members.sparkSession.sparkContext.defaultParallelism, members.count() // ROWS_PER_BLOCK)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("hub", "low", "high"), F.lit(n_blocks)))
+    rows = members.select("hub", "column", "weight", "key", "size", "component", "hubs")
+    blocks = _in_blocks(rows, chunks, ROWS_PER_BLOCK, F.lit(1))
 
     def product(table):
-        columns = {c: table.column(c).to_numpy() for c in ("hub", "low", "high", "column", "weight", "key", "size", "component", "hubs", "chunk")}
-        order = np.lexsort((columns["column"], columns["high"], columns["low"], columns["hub"]))
-        columns = {c: v[order] for c, v in columns.items()}
-        new_block = np.flatnonzero(np.r_[True, np.any([np.diff(columns[c]) != 0 for c in ("hub", "low", "high")], axis=0), True])
-        found = [np.zeros((2, 0), np.int64)]
-        for a, b in zip(new_block[:-1], new_block[1:], strict=True):
-            found.append(_block_pairs({c: v[a:b] for c, v in columns.items()}, percent))
-        both = np.concatenate(found, axis=1)
-        return pa.table({"a": both.min(axis=0), "b": both.max(axis=0)})
+        found = [pa.table({c: pa.array([], pa.int64()) for c in ("hub", "key", "component", "size")})]
+        for block, _ in _each_block(table, ["column"]):
+            near = _near_classes(block, percent)
+            found.append(pa.table({"hub": np.full(len(near["key"]), block["hub"][0]), **near}))
+        return pa.concat_tables(found)
 
-    return rows.groupBy("block").applyInArrow(product, "a bigint, b bigint")
+    schema = "hub bigint, key bigint, component bigint, size bigint"
+    return blocks.groupBy("block").applyInArrow(product, schema).distinct()
 
 
-def _block_pairs(rows: dict, percent: int) -> np.ndarray:
-    """The entries of one block that are large enough, as two rows of keys."""
+def _near_classes(rows: dict, percent: int) -> dict:
+    """The classes of one block that have an entry which is large enough."""
     keys, first, place = np.unique(rows["key"], return_index=True, return_inverse=True)
     own = {c: rows[c][first].astype(np.int64) for c in ("size", "component", "hubs", "chunk")}
     low, high = rows["low"][0], rows["high"][0]
@@ -331,7 +337,90 @@ def _block_pairs(rows: dict, percent: int) -> np.ndarray:
         (together * np.minimum(own["hubs"][i], own["hubs"][j]) >= enough) & (own["component"][i] != own["component"][j])
         & (100 * one >= percent * other) & (100 * other >= percent * one)
     )
-    return np.stack([keys[i[keep]], keys[j[keep]]])
+    near = np.union1d(i[keep], j[keep])
+    return {"key": keys[near], "component": own["component"][near], "size": own["size"][near]}
+
+
+def _forests(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links `(a, b)` that connect what similarity connects among the classes of each hub.
+
+    Again in blocks of two chunks, now of whole sets and of bounded size. A block counts all overlaps of its classes and
+    passes on a spanning forest of its components.
+    """
+    sizes = F.greatest(F.count("*") / CLASSES_PER_CHUNK, F.sum("size") / GRAMS_PER_CHUNK)
+    chunks = near.groupBy("hub").agg(F.ceil(sizes).cast("int").alias("chunks"))
+    blocks = _in_blocks(near, chunks, GRAMS_PER_CHUNK, F.col("size")).join(sets, "key")
+
+    def connect(table):
+        found = [np.zeros((2, 0), np.int64)]
+        grams = table.column("grams").combine_chunks()
+        for block, rows in _each_block(table, ["key"]):
+            own = [np.frombuffer(grams[int(row)].as_buffer(), np.uint64) for row in rows]
+            found.append(_forest(block, own, percent))
+        both = np.concatenate(found, axis=1)
+        return pa.table({"a": both.min(axis=0), "b": both.max(axis=0)})
+
+    return blocks.groupBy("block").applyInArrow(connect, "a bigint, b bigint")
+
+
+def _overlap_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many n-grams each class on the left has in common with each on the right."""
+    used = np.union1d(left, right)
+    place = np.repeat(used, [len(sets[k]) for k in used])
+    grams = np.concatenate([sets[k] for k in used])
+    order = np.argsort(grams, kind="stable")
+    grams, place = grams[order], place[order]
+    starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+    sizes = np.diff(np.r_[starts, len(grams)])
+    at, at_right = np.full(len(sets), -1), np.full(len(sets), -1)
+    at[left], at_right[right] = np.arange(len(left)), np.arange(len(right))
+    counts = np.zeros((len(left), len(right)), np.int64)
+    for size in range(2, _DENSE):
+        for some in np.array_split(starts[sizes == size], max(1, (sizes == size).sum() * size * size >> 20)):
+            members = place[some[:, None] + np.arange(size)]
+            i, j = at[members][:, :, None], at_right[members][:, None, :]
+            cells = (i * len(right) + j)[(i >= 0) & (j >= 0)]
+            counts += np.bincount(cells, minlength=counts.size).reshape(counts.shape)
+    common = np.flatnonzero(sizes >= _DENSE)
+    for some in np.array_split(common, max(1, len(common) >> 10)):
+        column = np.repeat(np.arange(len(some)), sizes[some])
+        members = place[np.concatenate([np.arange(starts[k], starts[k] + sizes[k]) for k in some])] if len(some) else place[:0]
+        one, other = (np.zeros((side, len(some)), np.float32) for side in (len(left), len(right)))
+        for matrix, where in ((one, at), (other, at_right)):
+            inside = where[members] >= 0
+            matrix[where[members][inside], column[inside]] = 1
+        counts += (one @ other.T).astype(np.int64)
+    return counts
+
+
+def _forest(rows: dict, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Links of one block, one fewer than the components that they connect, as two rows of keys."""
+    left, right = (np.flatnonzero(rows["chunk"] == rows[side][0]) for side in ("low", "high"))
+    if not len(left) or not len(right):
+        return np.zeros((2, 0), np.int64)
+    sizes = rows["size"].astype(np.int64)
+    common = _overlap_counts(sets, left, right)
+    linked = 100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common)
+    _, component = np.unique(rows["component"], return_inverse=True)
+    ways = np.zeros((len(sets), len(sets)), bool)
+    ways[np.ix_(left, right)] = linked
+    ways |= ways.T
+    reached = np.zeros(component.max() + 1, bool)
+    links = []
+    for start in range(len(reached)):
+        if reached[start]:
+            continue
+        reached[start] = True
+        queue = [start]
+        while queue:
+            own = np.flatnonzero(component == queue.pop())
+            near = np.flatnonzero(ways[own].any(axis=0))
+            for k in near:
+                if not reached[component[k]]:
+                    reached[component[k]] = True
+                    queue.append(component[k])
+                    links.append((rows["key"][own[ways[own, k].argmax()]], rows["key"][k]))
+    return np.array(links, np.int64).reshape(-1, 2).T
 
 
 def _against_leaders(members: DataFrame, percent: int) -> DataFrame:
