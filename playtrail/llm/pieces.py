@@ -4,15 +4,18 @@ compiled once, composed with each text, and the tropical-semiring shortest path
 import hashlib
 import re
 import struct
+from array import array
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import groupby
 from math import inf
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_CACHED = 300_000
+# Entries of each of a task's caches; twice as many are held at most.
+MAX_CACHED = 150_000
 
 # Fixed values of the model format: kinds of pieces, kinds of models, the mark for a space.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -82,6 +85,24 @@ class Model:
         return model
 
 
+class _Remembered(dict):
+    """What `make` returns for a key. When it is full it becomes the old half, from which keys that are used again return."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= MAX_CACHED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class PieceTransducer:
     """Texts to ids and back.
 
@@ -89,7 +110,8 @@ class PieceTransducer:
     single character, which byte fallback spells. Arc weights are negated scores for unigram models. A merge
     model's result is the only sequence in which merging any two neighbours from their characters gives
     back just these two; its machine remembers the last piece, and a step to the next has weight 0 where
-    that holds and is infinite elsewhere. Either way the path of least total weight is the encoding.
+    that holds and is infinite elsewhere. Either way the path of least total weight is the encoding. Every
+    beginning of a text has one encoding as well, so with merges a place is reached with one last piece only.
     """
 
     def __init__(self, model: Model):
@@ -112,10 +134,12 @@ class PieceTransducer:
         self.parts = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if self.cut_lines else "(?s).+")
         # Two characters in a row that no piece has in a row: a path must part there.
         self.pairs = {piece[k : k + 2] for piece in ids for k in range(len(piece) - 1)}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits = _Remembered(lambda pair: self.merged(pair[0] + pair[1]) == [*pair])
         self.reached: dict[str, bool] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.led: dict[str, tuple[int, ...]] = {}
+        # Ids are kept as the bytes of 32-bit numbers, which are joined without a step for each of them.
+        self.segments = _Remembered(lambda segment: self._spelled(self.shortest_path(segment)))
+        self.led = _Remembered(lambda word: self._part(MARK + word))
+        self.shown = [self._shown(piece, kind) for piece, kind in zip(model.pieces, model.kinds, strict=True)]
 
     def normalise(self, text: str) -> str:
         if self.model.trim_spaces:
@@ -145,45 +169,35 @@ class PieceTransducer:
             found = self.reached[piece] = piece in self.ids and self.merged(piece) == [piece]
         return found
 
-    def _fit(self, left: str, right: str) -> bool:
-        found = self.fits.get((left, right))
-        if found is None:
-            if len(self.fits) >= MAX_CACHED:
-                self.fits.clear()
-            found = self.fits[left, right] = self.merged(left + right) == [left, right]
-        return found
-
     def shortest_path(self, text: str) -> list[str]:
         """The pieces on the path of least weight through the composition with the text."""
         return self._merge_path(text) if self.model.kind == BPE else self._score_path(text)
 
     def _merge_path(self, text: str) -> list[str]:
-        """The only path of finite weight, searched depth first with the longest pieces first.
+        """Relaxes the arcs of reached places, the furthest end first; all finite sums are 0, so any order is best first.
 
-        A state is a place and the last piece; states from which the end is out of reach are kept, so
-        that each is entered once.
+        An arc is weighed when its turn comes, and never if its end is reached by then.
         """
         fits, size = self.fits, len(text)
-        path, tries, dead, at = [""], [self._ends(text, 0)], set(), 0
-        while at < size:
-            last, ends = path[-1], tries[-1]
-            while ends:
-                end = ends.pop()
-                piece = text[at:end]
-                if not last or (fits[last, piece] if (last, piece) in fits else self._fit(last, piece)):
-                    if not dead or (end, piece) not in dead:
-                        path.append(piece)
-                        tries.append(self._ends(text, end))
-                        at = end
-                        break
-            else:
-                dead.add((at, path.pop()))
-                tries.pop()
-                at -= len(last)
-        return path[1:]
+        last: list[str | None] = [None] * (size + 1)
+        last[0] = ""
+        arcs = [(0, end) for end in self._ends(text, 0)]
+        while last[size] is None:
+            at, end = arcs.pop()
+            if last[end] is None:
+                before, piece = last[at], text[at:end]
+                if not before or fits[before, piece]:
+                    last[end] = piece
+                    if end < size:
+                        arcs += [(end, further) for further in self._ends(text, end)]
+        path, at = [], size
+        while at:
+            path.append(last[at])
+            at -= len(last[at])
+        return path[::-1]
 
     def _ends(self, text: str, at: int) -> list[int]:
-        """Where the arcs from a place end, the longest last: those of its character and of pieces that merging makes."""
+        """Where the arcs from a place end, the furthest last: those of its character and of pieces that merging makes."""
         reached, beginnings = self.reached, self.beginnings
         ends = [at + 1]
         for end in range(at + 2, len(text) + 1):
@@ -212,7 +226,7 @@ class PieceTransducer:
             at = best[at][1]
         return path[::-1]
 
-    def _spelled(self, pieces: list[str]) -> tuple[int, ...]:
+    def _spelled(self, pieces: list[str]) -> bytes:
         found: list[int] = []
         for piece in pieces:
             number = self.ids.get(piece)
@@ -220,83 +234,67 @@ class PieceTransducer:
                 found.append(number)
             elif self.bytes:
                 found += (self.bytes[byte] for byte in piece.encode("utf-8", "replace"))
-            elif not found or found[-1] != self.unknown:
+            else:
                 found.append(self.unknown)
-        return tuple(found)
-
-    def _segments(self, text: str) -> list[str]:
-        """The text cut where no piece crosses."""
-        pairs, cuts = self.pairs, [0]
-        for k in range(1, len(text)):
-            if text[k - 1 : k + 1] not in pairs:
-                cuts.append(k)
-        return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
-
-    def _part(self, part: str) -> tuple[int, ...]:
-        """The ids of a part; those of its segments are kept, as words share them."""
-        cache, found = self.cache, ()
-        for segment in self._segments(part):
-            ids = cache.get(segment)
-            if ids is None:
-                if len(cache) >= MAX_CACHED:
-                    cache.clear()
-                ids = cache[segment] = self._spelled(self.shortest_path(segment))
-            found += ids
-        return found
-
-    def _led_part(self, word: str) -> tuple[int, ...]:
-        if len(self.led) >= MAX_CACHED:
-            self.led.clear()
-        found = self.led[word] = self._part(MARK + word)
-        return found
-
-    def encode(self, text: str) -> list[int]:
+        return array("i", found).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """The ids of a part, which is cut where no piece crosses; its segments are kept, as words share them."""
+        pairs = self.pairs
+        cuts = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in pairs]
+        if not cuts:
+            return self.segments[part]
+        return b"".join([self.segments[part[a:b]] for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True)])
+
+    def encode_packed(self, text: str) -> bytes:
+        """The ids as the bytes of 32-bit numbers."""
         if not text:
-            return []
+            return b""
         # Plain texts, the most, have no mark and no two spaces in a row: their words are the parts.
         plain = MARK not in text and "  " not in text and text[0] != " "
-        if plain and self.cut_lines and self.bytes and self.model.dummy_prefix:
-            found: list[int] = []
-            led, add = self.led, found.extend
-            new_line = self._part("\n")
+        if plain and self.cut_lines and self.bytes and self.model.dummy_prefix and not self.model.trim_spaces:
+            found: list[bytes] = []
+            led, new_line = self.led, self._part("\n")
             for k, line in enumerate((" " + text).split("\n")):
                 if k:
-                    add(new_line)
+                    found.append(new_line)
                 first, *words = line.split(" ")
                 if first:
-                    add(self._part(first))
-                for word in words:
-                    ids = led.get(word)
-                    add(self._led_part(word) if ids is None else ids)
-            if not self.model.trim_spaces:
-                return found
-        parts = self.parts.findall(self.normalise(text))
-        ids = list(chain.from_iterable(map(self._part, parts)))
+                    found.append(self._part(first))
+                found += map(led.__getitem__, words)
+            return b"".join(found)
+        ids = b"".join(map(self._part, self.parts.findall(self.normalise(text))))
         if self.bytes:
             return ids
-        return [n for k, n in enumerate(ids) if n != self.unknown or not k or ids[k - 1] != self.unknown]
+        # Unknown characters in a row are one unknown piece.
+        numbers = np.frombuffer(ids, np.int32)
+        unknown = numbers == self.unknown
+        return numbers[~(unknown & np.r_[False, unknown[:-1]])].tobytes()
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_packed(text), np.int32).tolist()
+
+    def _shown(self, piece: str, kind: int) -> bytes:
+        if kind == BYTE:
+            return bytes([int(piece[3:5], 16)])
+        if kind == UNKNOWN:
+            return " ⁇ ".encode()
+        return b"" if kind == CONTROL else piece.replace(MARK, " ").encode()
 
     def decode(self, ids: list[int]) -> str:
-        pieces, kinds = self.model.pieces, self.model.kinds
-        out: list[str] = []
-        run = bytearray()
-        for number in ids:
-            kind = kinds[number]
-            if kind == BYTE:
-                run.append(int(pieces[number][3:5], 16))
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            if kind == UNKNOWN:
-                out.append(" ⁇ ")
-            elif kind != CONTROL:
-                out.append(pieces[number])
-        out.append(run.decode("utf-8", "replace"))
-        text = "".join(out)
-        if self.model.dummy_prefix and text.startswith(MARK):
-            text = text[1:]
-        return text.replace(MARK, " ")
+        joined = b"".join(map(self.shown.__getitem__, ids))
+        try:
+            text = joined.decode()
+        except UnicodeDecodeError:
+            text = self._decode_runs(ids)
+        first = self.model.pieces[ids[0]] if len(ids) else ""
+        return text[1:] if self.model.dummy_prefix and first.startswith(MARK) else text
+
+    def _decode_runs(self, ids: list[int]) -> str:
+        """Each run of bytes on its own, where some of them make no character."""
+        kinds = self.model.kinds
+        runs = groupby(ids, lambda number: kinds[number] == BYTE)
+        return "".join(b"".join(map(self.shown.__getitem__, run)).decode("utf-8", "replace") for _, run in runs)
 
 
 def encode(df: DataFrame, model_path: str = MODEL, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -313,19 +311,19 @@ def encode(df: DataFrame, model_path: str = MODEL, doc_id: str = "doc_id", text:
     def run(batches):
         machine = PieceTransducer(Model.parse(shared.value))
         for batch in batches:
-            ids, digests, exact = [], [], []
+            packed, digests, exact = [], [], []
             for value in batch.column(1):
                 given = value.as_py() or ""
-                found = machine.encode(given)
-                back = machine.decode(found)
-                ids.append(pa.array(found, pa.int32()))
+                ids = machine.encode_packed(given)
+                back = machine.decode(np.frombuffer(ids, np.int32).tolist())
+                packed.append(ids)
                 digests.append(hashlib.sha256(back.encode("utf-8", "replace")).hexdigest())
                 exact.append(back == given)
-            offsets = pa.array([0, *_running(map(len, ids))], pa.int32())
-            values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, values)
+            sizes = np.array([len(ids) // 4 for ids in packed], np.int32)
+            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists, pa.array(map(len, ids), pa.int32()), pa.array(digests), pa.array(exact)],
+                [batch.column(0), lists, pa.array(sizes), pa.array(digests, pa.string()), pa.array(exact, pa.bool_())],
                 ["doc_id", "ids", "n_ids", "decoded_sha256", "exact"],
             )
 
@@ -334,9 +332,3 @@ def encode(df: DataFrame, model_path: str = MODEL, doc_id: str = "doc_id", text:
         run, f"doc_id {kind}, ids array<int>, n_ids int, decoded_sha256 string, exact boolean"
     )
 
-
-def _running(sizes):
-    total = 0
-    for size in sizes:
-        total += size
-        yield total
