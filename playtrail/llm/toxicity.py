@@ -76,8 +76,10 @@ def learn(
     the other way. Only features of at least `min_positive` toxic texts, and
     by `min_surprise` standard deviations more than their share of unlabelled texts, get a weight.
     """
+    if not 0 < prior < 1:
+        raise ValueError(f"the prior must lie between 0 and 1, not at {prior}")
     if not positive or not unlabelled:
-        return Model(np.zeros(n_features), float(np.log(prior / (1 - prior))) if 0 < prior < 1 else -2.0)
+        return Model(np.zeros(n_features), float(np.log(prior / (1 - prior))))
     in_toxic = np.bincount(np.concatenate(positive), minlength=n_features)
     share = (np.bincount(np.concatenate(unlabelled), minlength=n_features) + 1) / (len(unlabelled) + 2)
     expected = len(positive) * share
@@ -150,18 +152,21 @@ def train(
 ) -> Model:
     """A model from at most `max_positive` confirmed toxic documents and `max_unlabelled` others as they come.
 
-    The prior is the share of toxic ones among all labels that may be learned from. An id with several
-    labels is toxic if one of them says so. Held-out documents take no part.
+    The prior is the share of toxic ones among all labels that may be learned from, with one label of each kind added,
+    so that it is neither 0 nor 1 whatever the labels are. An id with several labels is toxic if one of them says so;
+    of an id with several rows one text counts, the last in order. Held-out documents take no part. Without toxic texts
+    or without others the model has no weights and scores all texts by the prior.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
-    prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
+    n_toxic, n_known = known.agg(F.coalesce(F.sum((F.col("toxic") == 1).cast("bigint")), F.lit(0)), F.count("*")).first()
+    prior = (n_toxic + 1) / (n_known + 2)
     toxic = _draw(known.where("toxic = 1").select("id"), max_positive, seed)
     texts = documents.select(F.col("doc_id").alias("id"), "text").where(F.col("id").isNotNull() & ~held_out(F.col("id")))
     mixed_ids = _draw(texts.select("id"), max_unlabelled, seed + 1).distinct()
     # Bounded by the two limits, so they may be broadcast.
     wanted = toxic.withColumn("part", F.lit(1)).unionByName(mixed_ids.withColumn("part", F.lit(0)))
-    sample = texts.join(F.broadcast(wanted), "id").select("id", "part", "text")
+    sample = texts.join(F.broadcast(wanted), "id").groupBy("id", "part").agg(F.max("text").alias("text"))
 
     def features(batches):
         for batch in batches:

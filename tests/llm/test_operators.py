@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -283,6 +284,17 @@ def test_toxicity_of_awkward_rows(docs, labels):
     train(docs.limit(0), labels)
 
 
+@pytest.mark.parametrize("toxic", [(0, 0, 0), (1, 1, 1), (1, 0, 1)])
+def test_toxicity_of_one_class_of_labels_and_repeated_ids(spark, toxic):
+    ids = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    rows = [(ids[0], "bad bad words"), *[(ids[1], f"text {k}") for k in range(500)], (ids[2], None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame(list(zip(ids, toxic, strict=True)), "doc_id bigint, toxic int")
+    for some in (docs, docs.where(F.col("doc_id") == ids[0]), docs.limit(0)):
+        scores = [r.score for r in score(docs, train(some, known)).collect()]
+        assert len(scores) == len(rows) and all(0 <= s <= 1 for s in scores)
+
+
 def test_the_pipeline_on_awkward_rows(spark, docs):
     """Against plain code: what stays after rules, exact and near copies; whole documents in the mix; exact ids."""
     at = {}
