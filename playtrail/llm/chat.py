@@ -198,13 +198,13 @@ def read_back(formatted: Column, template: Template = TEMPLATE) -> Column:
 
     def taken_apart(shown: Column) -> Column:
         def between(before: str, after: str) -> Column:
-            return unescaped(shown.substr(F.lit(len(before) + 1), F.length(shown) - (len(before) + len(after))))
+            return shown.substr(F.lit(len(before) + 1), F.length(shown) - (len(before) + len(after)))
 
         first, second, last = template.other
         parts = F.split(between(first, last), _java(second), 2)
-        turn = F.struct(F.element_at(parts, 1).alias("role"), F.element_at(parts, 2).alias("text"))
+        turn = F.struct(unescaped(F.element_at(parts, 1)).alias("role"), unescaped(F.element_at(parts, 2)).alias("text"))
         for name, own in template.roles.items():
-            known = F.struct(F.lit(name).alias("role"), between(own.before, own.after).alias("text"))
+            known = F.struct(F.lit(name).alias("role"), unescaped(between(own.before, own.after)).alias("text"))
             turn = F.when(shown.startswith(own.before), known).otherwise(turn)
         return turn
 

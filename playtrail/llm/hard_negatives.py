@@ -363,7 +363,9 @@ def _visit_pages(tree: Tree, visits: DataFrame, same: bool, k: int) -> DataFrame
     visits = stored(visits, "rtree-visits")
     wanted = tree.pages.join(visits.select(*place).distinct(), place, "left_semi").select(*place, "n", "payload")
     both = wanted.unionByName(visits, allowMissingColumns=True).withColumn("is_query", F.col("query").isNotNull())
-    dealt = both.repartition(*place).sortWithinPartitions(*place, "is_query")
+    # A number of its own keeps pages apart that are small in bytes but long in work.
+    n_tasks = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(n_tasks, *place).sortWithinPartitions(*place, "is_query")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         page = None
