@@ -37,20 +37,29 @@ def browse_fields(fields: Column) -> dict[str, Column]:
     }
 
 
-def browse_line(has_event_time: bool) -> Column:
-    """The text line of a browse row; seconds are `00` when only the minute is known."""
+def browse_line(has_event_time: bool) -> tuple[Column, Column]:
+    """The text line of a browse row, and whether it gives the row back; seconds are `00` when only the minute is known.
+
+    The values are tested, not the line: none may be null or hold what the format uses at its place, and the
+    minute has to be that of a readable time.
+    """
+    date = F.col("date")
     if has_event_time:
         time_text = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")
+        readable = (F.translate(F.substring(time_text, 1, 16), "-: ", "") == date) & (F.length(time_text) == 19)
     else:
-        time_text = F.regexp_replace(
-            "date", r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:00"
-        )
-
-    def text(column: Column) -> Column:
-        return F.coalesce(column.cast("string"), F.lit(""))
-
-    return F.concat(
-        text(F.col("ip")), F.lit("\t["), text(time_text), F.lit("]\t("),
-        text(F.col("androidVersion")), F.lit(","), text(F.col("phoneModel")), F.lit(")\t"),
-        text(F.col("gameName")), F.lit("\t"), text(F.col("gameId")),
+        time_text = F.regexp_replace(date, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:00")
+        readable = F.date_format(time_text.try_cast("timestamp"), "yyyyMMddHHmm") == date
+    names = {name: F.col(name) for name in ("ip", "androidVersion", "phoneModel", "gameName")}
+    used = {name: "\t\n\r" for name in names}
+    used["androidVersion"] += ",("
+    used["phoneModel"] += ",)"
+    fits = readable & F.col("gameId").isNotNull()
+    for name, column in names.items():
+        for mark in used[name]:
+            fits = fits & ~F.contains(column, F.lit(mark))
+    line = F.concat(
+        names["ip"], F.lit("\t["), time_text, F.lit("]\t("), names["androidVersion"], F.lit(","), names["phoneModel"],
+        F.lit(")\t"), names["gameName"], F.lit("\t"), F.col("gameId").cast("string"),
     )
+    return line, F.coalesce(fits, F.lit(False))

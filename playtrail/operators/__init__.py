@@ -1,4 +1,4 @@
-from playtrail.operators.geo import CityRanges, measure_ranges, with_city
+from playtrail.operators.geo import CityRanges, measure_ranges, most_specific_ranges, with_city
 from playtrail.operators.keyed import from_cells, latest_per_key, to_cells, upsert, with_row_key
 from playtrail.operators.reports import (
     phone_model_times,
@@ -13,6 +13,7 @@ __all__ = [
     "from_cells",
     "latest_per_key",
     "measure_ranges",
+    "most_specific_ranges",
     "phone_model_times",
     "to_cells",
     "top_games_by_city",

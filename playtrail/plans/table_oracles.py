@@ -104,6 +104,20 @@ CLEAN = _with(BROWSE) + """
 
 IP_TO_CITY = _with(BROWSE, RANGES, LOCATED) + "SELECT event_id, ip, city FROM located"
 
+NESTED = """
+around AS (SELECT max(ip_hi - ip_lo + 1) AS width FROM ranges),
+nested AS (
+  SELECT * FROM ranges
+  UNION ALL SELECT 167772160, 167772160 + 40 * width, 'elsewhere' FROM around
+  UNION ALL SELECT 167772160 + r_regionkey * 5 * width, 167772160 + (r_regionkey * 5 + 20) * width, r_name FROM region, around
+  UNION ALL
+  SELECT lo, lo + 1 + (s_suppkey * 7919) % (2 * width), s_name
+  FROM (SELECT *, 167772160 + (s_suppkey * 247711) % (30 * width) AS lo FROM supplier, around))"""
+
+IP_TO_CITY_NESTED = _with(BROWSE, RANGES, NESTED) + """
+    SELECT event_id, ip, city FROM browse LEFT JOIN nested ON ip_number BETWEEN ip_lo AND ip_hi
+    QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ip_hi - ip_lo, ip_lo DESC, city NULLS LAST) = 1"""
+
 # CRC-32 bit by bit: characters are folded into the register, eight shifts each.
 CRC32 = """
 xor(4294967295::BIGINT, list_reduce(
@@ -287,6 +301,7 @@ def table_oracles() -> dict[str, str]:
         "clean_roundtrip": CLEAN,
         "ip_to_city": IP_TO_CITY,
         "ip_to_city_shuffled": IP_TO_CITY,
+        "ip_to_city_nested": IP_TO_CITY_NESTED,
         "row_key": _with(BROWSE) + f"SELECT event_id, {ROW_KEY} AS row_key FROM browse",
         "keyed_upsert": _with(BROWSE, DAILY) + "SELECT * FROM newest",
         "keyed_scan": _with(BROWSE, DAILY) + f"""

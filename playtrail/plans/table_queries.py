@@ -33,6 +33,7 @@ from playtrail.plans.table_views import (
     browse_view,
     city_ranges,
     daily_view,
+    nested_ranges,
     table,
     topic_messages,
 )
@@ -112,6 +113,12 @@ def ip_to_city_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_city(browse_view(spark, sf_dir).select("event_id", "ip"), ranges)
 
 
+def ip_to_city_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges inside ranges and across their ends: the narrowest counts."""
+    ranges = measure_ranges(nested_ranges(spark, sf_dir), nested=True)
+    return with_city(browse_view(spark, sf_dir).select("event_id", "ip"), ranges)
+
+
 def top_games_by_city_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = measure_ranges(city_ranges(spark, sf_dir), broadcast_limit_bytes=0)
     return top_games_by_city(browse_view(spark, sf_dir), ranges)
@@ -413,6 +420,7 @@ def table_queries() -> dict[str, Query]:
         "clean_roundtrip": clean_roundtrip,
         "ip_to_city": ip_to_city,
         "ip_to_city_shuffled": ip_to_city_shuffled,
+        "ip_to_city_nested": ip_to_city_nested,
         "row_key": row_keys,
         "keyed_upsert": keyed_upsert,
         "keyed_scan": keyed_scan,

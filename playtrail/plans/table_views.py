@@ -59,6 +59,24 @@ def city_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nations' ranges, one around them all, one per region over half of it, and one per supplier somewhere inside them."""
+    nations = city_ranges(spark, sf_dir)
+    share = nations.agg(F.max(F.col("ip_hi") - F.col("ip_lo") + 1).alias("width"))
+    around = share.select(
+        F.lit(_FIRST_ADDRESS).cast("bigint").alias("ip_lo"), (F.lit(_FIRST_ADDRESS) + 40 * F.col("width")).alias("ip_hi"), F.lit("elsewhere").alias("city")
+    )
+    regions = table(spark, sf_dir, "region").join(share).select(
+        (F.lit(_FIRST_ADDRESS) + F.col("r_regionkey") * 5 * F.col("width")).alias("ip_lo"),
+        (F.lit(_FIRST_ADDRESS) + (F.col("r_regionkey") * 5 + 20) * F.col("width")).alias("ip_hi"),
+        F.col("r_name").alias("city"),
+    )
+    start = F.lit(_FIRST_ADDRESS) + F.pmod(F.col("s_suppkey") * 247_711, 30 * F.col("width"))
+    width = F.lit(1) + F.pmod(F.col("s_suppkey") * 7919, 2 * F.col("width"))
+    suppliers = table(spark, sf_dir, "supplier").join(share).select(start.alias("ip_lo"), (start + width).alias("ip_hi"), F.col("s_name").alias("city"))
+    return nations.unionByName(around).unionByName(regions).unionByName(suppliers)
+
+
 def daily_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits keyed by day, so that some of them share a key."""
     return browse_view(spark, sf_dir).withColumn("date", F.substring("date", 1, 8)).drop("event_time")

@@ -21,25 +21,23 @@ def merge_keyed_table(
     """Merge updates into a stored keyed table; `date` must be among the keys.
 
     Only the days that the updates touch are read and rewritten. Updates are computed once, into the
-    shared folder; so are the merged days, since a table can't be overwritten while it is being read.
-    Both copies are removed at the end, also after an error. Running the merge again with the same
+    shared folder, which is removed at the end, also after an error. The merged days are written beside
+    the table's own and take their place when all of them are there. Running the merge again with the same
     updates gives the same table. A null date is an error, raised before anything is written to the table.
     """
     if "date" not in keys:
         raise ValueError("days can be merged on their own only if date is part of the key")
     columns = StructType([*updates.schema.fields, StructField("day", StringType())])
-    staged = [new_folder(spark, label) for label in ("keyed-updates", "keyed-merge")]
+    staged = new_folder(spark, "keyed-updates")
     try:
-        updates.withColumn("day", _day()).write.parquet(staged[0])
-        kept_updates = spark.read.schema(columns).parquet(staged[0])
+        updates.withColumn("day", _day()).write.parquet(staged)
+        kept_updates = spark.read.schema(columns).parquet(staged)
         stored = spark.read.schema(columns).parquet(path)
-        _in_days(upsert(touched_days(stored, kept_updates), kept_updates, keys, order_by)).parquet(staged[1])
-        merged = spark.read.schema(columns).parquet(staged[1])
-        writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("day").parquet(path)
+        merged = upsert(touched_days(stored, kept_updates), kept_updates, keys, order_by)
+        # Dynamic overwriting reads the old days to their end before it removes them.
+        _in_days(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     finally:
-        for folder in staged:
-            remove_folder(spark, folder)
+        remove_folder(spark, staged)
 
 
 def touched_days(stored: DataFrame, updates: DataFrame) -> DataFrame:

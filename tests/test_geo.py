@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from playtrail.operators import measure_ranges, with_city
+from playtrail.operators import measure_ranges, most_specific_ranges, with_city
 from tests.conftest import plan_of, rows_of
 
 RANGES = "ip_lo bigint, ip_hi bigint, city string"
@@ -92,3 +92,46 @@ def test_touching_ranges_and_empty_table(spark):
     assert (empty.rows, empty.size_bytes) == (0, 0)
     visits = spark.createDataFrame([("1.1.1.1",)], "ip string")
     assert rows_of(with_city(visits, empty)) == [("1.1.1.1", None)]
+
+
+def narrowest(table, n):
+    inside = [(hi - lo, -lo, city is None, city or "") for lo, hi, city in table if lo <= n <= hi]
+    found = min(inside, default=None)
+    return found and (None if found[2] else found[3])
+
+
+def dotted(n):
+    return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+
+
+@pytest.mark.parametrize("span", [64, 1 << 20, 1 << 32])
+def test_nested_ranges_take_the_most_specific(spark, span):
+    rng = random.Random(span)
+    table = [(0, span - 1, "all"), (0, span - 1, "again")]
+    for k in range(150):
+        lo = rng.randrange(span)
+        table.append((lo, min(span - 1, lo + rng.randrange(1 + span >> rng.randrange(1, 20))), rng.choice([f"c{k}", "tie", None])))
+    table += [(lo, hi, "copy") for lo, hi, _ in table[5:20]]
+    ranges = spark.createDataFrame(table, RANGES)
+    pieces = sorted((r.ip_lo, r.ip_hi, r.city) for r in most_specific_ranges(ranges).collect())
+    assert all(lo <= hi for lo, hi, _ in pieces) and all(a[1] < b[0] for a, b in zip(pieces, pieces[1:]))
+    places = sorted({max(0, min(span - 1, n + d)) for lo, hi, _ in table for n in (lo, hi) for d in (-1, 0, 1)} | {rng.randrange(span) for _ in range(200)})
+    found = with_city(spark.createDataFrame([(n, dotted(n)) for n in places], "n bigint, ip string"), measure_ranges(ranges, 20, nested=True))
+    assert {r.n: r.city for r in found.collect()} == {n: narrowest(table, n) for n in places}
+
+
+def test_nested_ranges_without_sound_ends(spark):
+    for bad in ((5, 3, "reversed"), (None, 3, "open"), (3, None, "open")):
+        with pytest.raises(ValueError, match="without ends"):
+            measure_ranges(spark.createDataFrame([(0, 9, "a"), bad], RANGES), nested=True)
+    with pytest.raises(ValueError, match="overlapping"):
+        measure_ranges(spark.createDataFrame([(0, 9, "a"), (2, 3, "b")], RANGES))
+    assert most_specific_ranges(spark.createDataFrame([], RANGES)).count() == 0
+
+
+def test_deep_nesting_makes_no_pairs(spark):
+    """A thousand ranges inside each other: joins are of blocks, whose number grows with the ranges alone."""
+    table = [(k, 1_000_000 - k, f"c{k}") for k in range(1000)]
+    pieces = most_specific_ranges(spark.createDataFrame(table, RANGES))
+    assert "NestedLoop" not in plan_of(pieces) and "Cartesian" not in plan_of(pieces)
+    assert pieces.count() == 1999
