@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtrail.llm.text import stored
+from playtrail.llm.text import discard, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,9 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-        edges = stored(_small_star(_large_star(edges)).distinct(), "components")
+        nearer = stored(_small_star(_large_star(edges)).distinct(), "components")
+        discard(edges)
+        edges = nearer
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

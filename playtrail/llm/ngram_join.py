@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from playtrail.llm.components import components
 from playtrail.llm.repeats import bit_map, cell, filter_bits, in_map
-from playtrail.llm.text import WORD, stored
+from playtrail.llm.text import WORD, discard, stored
 from playtrail.llm.tokens import Rolling, ascii_lower, byte_values, mixed, steps
 
 N_GRAM = 5
@@ -210,7 +210,9 @@ def _sets_of(keys: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     bits = filter_bits(keys.count(), 16)
     wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")).distinct(), bits)
     sets = texts.select("text").mapInArrow(_kept_sets(n, wanted, bits), "key bigint, grams binary")
-    return stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "ngram-sets")
+    found = stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "ngram-sets")
+    discard(keys)
+    return found
 
 
 def _least_common(one: Column, other: Column, percent: int) -> Column:
@@ -251,24 +253,38 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_co
     # The class with the most columns leads each of its columns, so that a group of near copies meets around a few of them.
     degree = members.groupBy("key").agg(F.sum("weight").alias("degree"))
     members = stored(members.join(degree, "key"), "ngram-members")
+    discard(posts)
 
     pairs = stored(_against_leaders(members, percent), "ngram-candidates")
     in_pairs = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    first = verified(pairs, _sets_of(in_pairs, texts, n), percent).where("linked").select("a", "b")
-    near = stored(_products(_open(members, components(first)), percent), "ngram-near")
-    return first.unionByName(_forests(near, _sets_of(near.select("key"), texts, n), percent))
+    sets = _sets_of(in_pairs, texts, n)
+    tested = verified(pairs, sets, percent)
+    discard(pairs, sets)
+    first = tested.where("linked").select("a", "b")
+    joined = components(first)
+    open_members = _open(members, joined)
+    near = stored(_products(_with_hubs(open_members), percent), "ngram-near")
+    discard(members, open_members)
+    sets = _sets_of(near.select("key"), texts, n)
+    links = stored(first.unionByName(_forests(near, sets, percent)), "ngram-links")
+    discard(tested, near, sets)
+    return links
 
 
 def _open(members: DataFrame, joined: DataFrame) -> DataFrame:
     """Members with their component, of the columns that more than one component has, and with the column's hub.
 
-    A column's hub is the component that has most of it; `hubs` is the number of hubs that a class has columns of.
+    A column's hub is the component that has most of it.
     """
     placed = members.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     sizes = placed.groupBy("column", "component").agg(F.count("*").alias("n"))
     hubs = sizes.groupBy("column").agg(F.max(F.struct("n", "component")).alias("hub"), F.count("*").alias("several")).where("several > 1")
-    placed = stored(placed.join(hubs.select("column", F.col("hub.component").alias("hub")), "column"), "ngram-open")
-    return placed.join(placed.groupBy("key").agg(F.count_distinct("hub").alias("hubs")), "key")
+    return stored(placed.join(hubs.select("column", F.col("hub.component").alias("hub")), "column"), "ngram-open")
+
+
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """Members with `hubs`, the number of hubs that a class has columns of."""
+    return members.join(members.groupBy("key").agg(F.count_distinct("hub").alias("hubs")), "key")
 
 
 def _in_blocks(rows: DataFrame, chunks: DataFrame, per_block: int, n_rows: Column) -> DataFrame:

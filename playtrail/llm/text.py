@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrail.scratch import new_folder
+from playtrail.scratch import new_folder, remove_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -36,7 +36,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read.stored_in = path
+    return read
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of tables that `stored` has made, once what was made of them is stored itself."""
+    for table in tables:
+        remove_folder(table.sparkSession, table.stored_in)
 
 
 def bound(value: Column, use) -> Column:
