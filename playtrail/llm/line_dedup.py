@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from playtrail.llm.ngram_join import may_reach, needed, verified
 from playtrail.llm.repeats import bit_map, cell, filter_bits, in_map
-from playtrail.llm.text import stored, whole
+from playtrail.llm.text import discard, stored, whole
 from playtrail.llm.tokens import Words, byte_values, mixed, steps
-from playtrail.scratch import remove_folder
 
 SIMILARITY_PERCENT = 80
-MIN_WORDS = 5
+MIN_WORDS = 1
 RARITY_CELLS = 1 << 20
 # Prefix tokens that meet in one block, and those of one token from which on Spark joins them instead.
 POSTS_PER_BLOCK = 500_000
@@ -63,10 +62,16 @@ class _Lines:
             self.keys = np.zeros(0, np.int64)
 
     def parities(self) -> np.ndarray:
-        """64 bits a line: whether an odd number of its tokens falls on each. Two lines differ in at least as many tokens as bits."""
+        """128 bits a line, as two columns: whether an odd number of its tokens falls on each.
+
+        Two lines differ in at least as many tokens as bits.
+        """
         if not len(self.starts):
-            return np.zeros(0, np.int64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (mixed(self.tokens) >> np.uint64(58)), self.starts).view(np.int64)
+            return np.zeros((2, 0), np.int64)
+        place = mixed(self.tokens) >> np.uint64(57)
+        bit = np.uint64(1) << (place & np.uint64(63))
+        halves = [np.where((place < 64) == first, bit, np.uint64(0)) for first in (True, False)]
+        return np.stack([np.bitwise_xor.reduceat(half, self.starts).view(np.int64) for half in halves])
 
     def prefixes(self, levels: np.ndarray, percent: int):
         """The tokens by which each line is found, its rarest ones in their order, and how many each line has.
@@ -83,7 +88,7 @@ class _Lines:
         return self.tokens[order][keep].astype(np.uint32).view(np.int32), lengths
 
 
-LINE_ROW = "place bigint, mark bigint, line int, key bigint, size int, parity bigint, prefix array<int>"
+LINE_ROW = "place bigint, mark bigint, line int, key bigint, size int, parity bigint, parity2 bigint, prefix array<int>"
 
 
 def _line_rows(min_words: int, percent: int, levels):
@@ -95,10 +100,10 @@ def _line_rows(min_words: int, percent: int, levels):
                 at = words.first + own.owner
                 tokens, lengths = own.prefixes(levels.value, percent)
                 offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                arrays = [places[at], marks[at], own.number.astype(np.int32), own.keys, own.sizes.astype(np.int32), own.parities()]
+                arrays = [places[at], marks[at], own.number.astype(np.int32), own.keys, own.sizes.astype(np.int32), *own.parities()]
                 prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
                 yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, arrays), prefix], ["place", "mark", "line", "key", "size", "parity", "prefix"]
+                    [*map(pa.array, arrays), prefix], ["place", "mark", "line", "key", "size", "parity", "parity2", "prefix"]
                 )
 
     return run
@@ -140,7 +145,7 @@ def token_rarity(texts: DataFrame, cells: int = RARITY_CELLS):
     return texts.sparkSession.sparkContext.broadcast(levels)
 
 
-POST = "token int, key bigint, size int, at int, parity bigint, place bigint, mark bigint, line int"
+POST = "token int, key bigint, size int, at int, parity bigint, parity2 bigint, place bigint, mark bigint, line int"
 
 
 def _posts(wanted, bits: int, hot=None, only_hot: bool = False):
@@ -154,11 +159,11 @@ def _posts(wanted, bits: int, hot=None, only_hot: bool = False):
             at = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             keep = in_map(wanted.value, tokens.astype(np.int64) & (bits - 1))
             if hot is not None:
-                keep &= np.isin(tokens, hot) == only_hot
+                keep &= np.isin(tokens, hot.value) == only_hot
             row = row[keep]
-            own = {c: batch.column(c).to_numpy()[row] for c in ("key", "size", "parity", "place", "mark", "line")}
+            own = {c: batch.column(c).to_numpy()[row] for c in ("key", "size", "parity", "parity2", "place", "mark", "line")}
             columns = {"token": tokens[keep], "key": own["key"], "size": own["size"], "at": at[keep].astype(np.int32)}
-            columns |= {c: own[c] for c in ("parity", "place", "mark", "line")}
+            columns |= {c: own[c] for c in ("parity", "parity2", "place", "mark", "line")}
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
     return run
@@ -169,7 +174,7 @@ def _matches(one: dict, other: dict, percent: int) -> np.ndarray:
     m, n, i, j = one["size"], other["size"], one["at"], other["at"]
     both = m + n
     reach = np.minimum(i, j) + np.minimum(m - i, n - j)
-    differ = np.bitwise_count((one["parity"] ^ other["parity"]).view(np.uint64))
+    differ = sum(np.bitwise_count((one[c] ^ other[c]).view(np.uint64)).astype(np.int64) for c in ("parity", "parity2"))
     return (
         (100 * m >= percent * n) & (100 * n >= percent * m) & (reach >= needed_of_both(both, percent))
         & (differ <= both * (100 - percent) // (100 + percent)) & (one["key"] != other["key"])
@@ -180,24 +185,25 @@ def needed_of_both(both, percent: int):
     return -(-both * percent // (100 + percent))
 
 
-def _earliest(percent: int):
-    """For each line and token of a block the earliest line before it that the bounds allow."""
+def _nearest(percent: int):
+    """For each line and token of a block the nearest line before it that the bounds allow; a line that has one looks no further."""
 
     def run(table):
-        columns = {c: table.column(c).to_numpy() for c in ("token", "key", "size", "at", "parity", "place", "mark", "line")}
+        columns = {c: table.column(c).to_numpy() for c in ("token", "key", "size", "at", "parity", "parity2", "place", "mark", "line")}
         order = np.lexsort((columns["line"], columns["mark"], columns["place"], columns["token"]))
         columns = {c: values[order].astype(np.int64) for c, values in columns.items()}
         token = columns["token"]
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         rank = np.arange(len(token)) - np.repeat(starts, np.diff(np.r_[starts, len(token)]))
         best = np.full(len(token), -1)
-        bounds = {c: columns[c] for c in ("size", "at", "parity", "key")}
+        bounds = {c: columns[c] for c in ("size", "at", "parity", "parity2", "key")}
         later = np.flatnonzero(rank >= 1)
         step = 1
         while len(later):
             found = _matches({c: v[later] for c, v in bounds.items()}, {c: v[later - step] for c, v in bounds.items()}, percent)
             best[later[found]] = later[found] - step
             step += 1
+            later = later[~found]
             later = later[rank[later] >= step]
         hit = best >= 0
         pairs = np.unique(np.stack([columns["key"][hit], columns["key"][best[hit]]]), axis=1)
@@ -229,7 +235,8 @@ def _may_match(percent: int) -> Column:
     overlap = F.ceil((one + other) * percent / (100 + percent))
     reach = F.least(i, j) + F.least(one - i, other - j)
     differ = F.floor((one + other) * (100 - percent) / (100 + percent))
-    return may_reach(one, other, percent) & (reach >= overlap) & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= differ)
+    bits = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("parity", "parity2")]
+    return may_reach(one, other, percent) & (reach >= overlap) & (bits[0] + bits[1] <= differ)
 
 
 def _sets_of(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
@@ -237,14 +244,17 @@ def _sets_of(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     bits = filter_bits(keys.count(), 16)
     wanted = bit_map(keys.select(cell(F.col("key"), bits).alias("cell")).distinct(), bits)
     sets = texts.select("text").mapInArrow(_kept_sets(min_words, wanted, bits), "key bigint, grams binary")
-    return stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "lines-sets")
+    found = stored(sets.join(keys, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "lines-sets")
+    discard(keys)
+    return found
 
 
 def _repeated_keys(texts: DataFrame, classes: DataFrame, min_words: int, percent: int, hot_posts: int) -> DataFrame:
     """Classes of equal token sets that are similar to a class whose first line is earlier.
 
-    The classes of a token meet in a block of tokens, where each is held against the earliest one that
-    the bounds allow. Only those without a match there go on, to all earlier ones they share a token with. Tokens of more than
+    The classes of a token meet in a block of tokens, where each is held against the nearest earlier one that
+    the bounds allow; one of those that its tokens give is verified on whole sets. Only classes without a match there go
+    on, to all earlier ones they share a token with. Tokens of more than
     `hot_posts` classes are no part of a block: their classes are joined by Spark, which splits such tokens.
     """
     spark = texts.sparkSession
@@ -253,34 +263,44 @@ def _repeated_keys(texts: DataFrame, classes: DataFrame, min_words: int, percent
     bits = filter_bits(counts.count(), 16)
     shared = bit_map(counts.select(cell(F.col("token").cast("bigint"), bits).alias("cell")).distinct(), bits)
     # At most one token for `hot_posts` posts.
-    hot = np.array([row.token for row in counts.where(F.col("count") > hot_posts).select("token").toLocalIterator()], np.int32)
+    busy_tokens = np.array([row.token for row in counts.where(F.col("count") > hot_posts).select("token").toLocalIterator()], np.int32)
+    hot = spark.sparkContext.broadcast(busy_tokens)
+    discard(counts)
 
     n_blocks = max(1, n_posts // POSTS_PER_BLOCK, spark.sparkContext.defaultParallelism)
     posts = classes.mapInArrow(_posts(shared, bits, hot), POST).withColumn("block", F.pmod(F.xxhash64("token"), F.lit(n_blocks)))
-    candidates = posts.groupBy("block").applyInArrow(_earliest(percent), "a bigint, b bigint")
+    candidates = posts.groupBy("block").applyInArrow(_nearest(percent), "a bigint, b bigint")
     earlier = F.struct("y.place", "y.mark", "y.line") < F.struct("x.place", "x.mark", "x.line")
     pair = [F.col("x.key").alias("a"), F.col("y.key").alias("b")]
     meets = (F.col("x.token") == F.col("y.token")) & earlier & _may_match(percent)
-    if len(hot):
+    if len(busy_tokens):
         busy = classes.mapInArrow(_posts(shared, bits, hot, only_hot=True), POST)
-        first_of_token = busy.groupBy("token").agg(F.min(F.struct("place", "mark", "line", "key", "size", "at", "parity")).alias("y"))
+        first_of_token = busy.groupBy("token").agg(F.min(F.struct("place", "mark", "line", "key", "size", "at", "parity", "parity2")).alias("y"))
         candidates = candidates.unionByName(
             busy.alias("x").join(first_of_token.select("token", "y.*").alias("y"), meets).select(*pair)
         ).unionByName(busy.select(F.col("key").alias("a"), F.lit(None).cast("bigint").alias("b")))
     candidates = stored(candidates.distinct(), "lines-candidates")
-    pairs = candidates.where("b is not null")
-    first = verified(pairs, _sets_of(pairs, texts, min_words), percent)
+    pairs = candidates.where("b is not null").groupBy("a").agg(F.max("b").alias("b"))
+    sets = _sets_of(pairs, texts, min_words)
+    first = verified(pairs, sets, percent)
+    discard(sets)
     matched = first.where("linked").select(F.col("a").alias("key")).distinct()
 
     unmatched = stored(candidates.select(F.col("a").alias("key")).distinct().join(matched, "key", "left_anti"), "lines-unmatched")
+    discard(candidates)
     tokens = classes.join(unmatched, "key", "left_semi").select(F.explode("prefix").alias("token"))
     bits = filter_bits(unmatched.count() * 16, 16)
     wanted = bit_map(tokens.select(cell(F.col("token").cast("bigint"), bits).alias("cell")).distinct(), bits)
     posts = stored(classes.mapInArrow(_posts(wanted, bits), POST), "lines-rest")
     rest = posts.join(unmatched, "key", "left_semi").alias("x").join(posts.alias("y"), meets).select(*pair).distinct()
     rest = stored(rest.join(first, ["a", "b"], "left_anti"), "lines-second")
-    second = verified(rest, _sets_of(rest, texts, min_words), percent)
-    return matched.unionByName(second.where("linked").select(F.col("a").alias("key")).distinct())
+    discard(posts, unmatched)
+    sets = _sets_of(rest, texts, min_words)
+    second = verified(rest, sets, percent)
+    discard(sets, rest)
+    found = stored(matched.unionByName(second.where("linked").select(F.col("a").alias("key")).distinct()), "lines-matched")
+    discard(first, second)
+    return found
 
 
 def _digest(text: str) -> str:
@@ -308,22 +328,22 @@ def repeated_lines(
 ) -> DataFrame:
     """`doc_id, n_lines, n_removed, kept_sha256, kept_text`, one row for each row of `df`.
 
-    A line is removed if an earlier one, by id, then text, then place in the text, has `percent` of the union of their
-    words in common, as sets and judged on the input. Lines of fewer than `min_words` words stay and are no one's
-    match; with 1 every line that has a word counts, as in the query. Lines without words stay. Rows with the same id and text are one document and
-    fare alike. Null ids are the last. Null and empty texts have one empty line; an empty table gives no
+    A line is removed if an earlier one, by id, then a hash of the text, then place in the text, has `percent` of the union of
+    their words in common, as sets and judged on the input. Lines without words stay; with a higher `min_words`, lines of
+    fewer words stay as well and are no one's match. Ids are whole numbers. Rows with the same id and text are one
+    document and fare alike. Null ids are the last. Null and empty texts have one empty line; an empty table gives no
     rows; other columns are ignored.
     """
-    spark = df.sparkSession
     place = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_LAST))
     texts = df.select(place.alias("place"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     told = stored(texts.mapInArrow(_line_rows(min_words, percent, token_rarity(texts)), LINE_ROW), "lines-told")
     own = F.struct("place", "mark", "line")
-    of_class = [F.any_value(c).alias(c) for c in ("size", "parity", "prefix")]
-    classes = stored(told.groupBy("key").agg(F.min(own).alias("first"), *of_class).select("key", "size", "parity", "prefix", "first.*"), "lines-classes")
+    of_class = ("size", "parity", "parity2", "prefix")
+    grouped = told.groupBy("key").agg(F.min(own).alias("first"), *[F.any_value(c).alias(c) for c in of_class])
+    classes = stored(grouped.select("key", *of_class, "first.*"), "lines-classes")
     lines = stored(told.select("place", "mark", "line", "key"), "lines-places")
-    remove_folder(spark, told.inputFiles()[0].rpartition("/")[0]) if not told.isEmpty() else None
-    matched = stored(_repeated_keys(texts, classes, min_words, percent, hot_posts), "lines-matched").withColumn("matched", F.lit(True))
+    discard(told)
+    matched = _repeated_keys(texts, classes, min_words, percent, hot_posts).withColumn("matched", F.lit(True))
     firsts = classes.select("key", own.alias("first"))
     gone = (
         lines.join(firsts, "key").join(matched, "key", "left").where((own != F.col("first")) | F.col("matched"))

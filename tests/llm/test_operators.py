@@ -224,7 +224,7 @@ def test_passages(docs, window):
     same(found.collect(), expected)
 
 
-def lines_expected(rows, min_words=5):
+def lines_expected(rows, min_words=1):
     index, seen, out = defaultdict(list), [], {}
     for doc_id, text in sorted(set(rows), key=lambda r: (rank(r[0]), r[1] or "")):
         kept = []
@@ -246,8 +246,9 @@ def lines_expected(rows, min_words=5):
 def test_lines(spark, docs, hot_posts):
     # Texts of rows without id come in no order that plain code could tell.
     rows = [row for row in ROWS if row[0] is not None or row[1] != "null id one"]
-    found = repeated_lines(table(spark, rows), hot_posts=hot_posts).select("doc_id", "n_lines", "n_removed", "kept_text")
-    same(found.collect(), lines_expected(rows))
+    for min_words in (1, 5):
+        found = repeated_lines(table(spark, rows), min_words=min_words, hot_posts=hot_posts).select("doc_id", "n_lines", "n_removed", "kept_text")
+        same(found.collect(), lines_expected(rows, min_words))
 
 
 def test_lines_of_the_given_table(spark, sf_dir):
