@@ -315,6 +315,14 @@ def table_oracles() -> dict[str, str]:
         "stat_sink_phone": STAT_PHONE,
         "stat_sink_hour": BY_HOUR,
         "stat_sink_empty_month": f"SELECT * FROM ({STAT_MONTH}) WHERE FALSE",
+        "growing_log": CLEAN,
+        "games_by_city_counts": _by_city(""),
+        "games_by_month_counts": _by_month(""),
+        "phone_models_counts": BY_PHONE,
+        "visits_by_hour_counts": BY_HOUR,
+        "games_of_newest_day": _with(BROWSE) + """
+            SELECT min("gameName") AS "gameName", "gameId", count(*) AS times, substr(date, 1, 8) AS day
+            FROM browse WHERE substr(date, 1, 8) = (SELECT max(substr(date, 1, 8)) FROM browse) GROUP BY "gameId", 4""",
         "batch_reports": BATCH,
         "batch_report_rows": BATCH_ROWS,
         "downloads_by_hour_daily": _totals([DOWNLOADS], "d", DOWNLOAD_COUNT, "hour"),

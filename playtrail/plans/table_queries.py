@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 
 from playtrail.operators import (
     from_cells,
+    games_by_city_from_counts,
+    games_by_month_from_counts,
+    hours_from_counts,
     measure_ranges,
     phone_model_times,
+    phone_models_from_counts,
     top_games_by_city,
     top_games_by_month,
     visits_by_hour,
@@ -41,8 +45,11 @@ from playtrail.schema import BROWSE_COLUMNS
 from playtrail.scratch import new_folder
 from playtrail.sinks import (
     STAT_TABLES,
+    add_new_files,
     clean_log,
     merge_keyed_table,
+    read_counts,
+    read_growing_log,
     read_stat,
     write_browse_log,
     write_cells,
@@ -147,6 +154,48 @@ def clean_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(read_clean_log(spark, stored))
 
 
+def _growing_log(spark: SparkSession, sf_dir: str) -> str:
+    """A log that came in two loads of new files, and a third one without."""
+    text, target = new_folder(spark, "growing-text"), new_folder(spark, "growing-log")
+    visits = browse_view(spark, sf_dir)
+    came_first = F.col("phoneModel").isin("click", "view")
+    for part in (visits.where(came_first), visits.where(~came_first)):
+        write_browse_log(part, text)
+        add_new_files(spark, text, target, rebalance=True)
+    if add_new_files(spark, text, target):
+        raise RuntimeError("files were parsed twice")
+    return target
+
+
+def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_times(read_growing_log(spark, _growing_log(spark, sf_dir)))
+
+
+def games_by_city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = read_counts(spark, _growing_log(spark, sf_dir), "games")
+    return games_by_city_from_counts(counts, city_ranges(spark, sf_dir), None)
+
+
+def games_by_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return games_by_month_from_counts(read_counts(spark, _growing_log(spark, sf_dir), "games"), MONTH)
+
+
+def phone_models_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phone_models_from_counts(read_counts(spark, _growing_log(spark, sf_dir), "phone_models"))
+
+
+def visits_by_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hours_from_counts(read_counts(spark, _growing_log(spark, sf_dir), "hours"))
+
+
+def games_of_newest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The games of the last day of the log, from that day's counts alone."""
+    target = _growing_log(spark, sf_dir)
+    newest = read_growing_log(spark, target).agg(F.max(F.substring("date", 1, 8))).first()[0]
+    counts = read_counts(spark, target, "games", days=[newest])
+    return games_by_month_from_counts(counts, int(newest[4:6])).drop("month").withColumn("day", F.lit(newest))
+
+
 def _batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The result tables of a whole batch run."""
     text, stored, root = (new_folder(spark, label) for label in ("batch-text", "batch-clean", "batch-stat"))
@@ -431,6 +480,12 @@ def table_queries() -> dict[str, Query]:
         "stat_sink_phone": partial(_stat_sink, "by_phone_model"),
         "stat_sink_hour": partial(_stat_sink, "by_hour"),
         "stat_sink_empty_month": stat_sink_empty_month,
+        "growing_log": growing_log,
+        "games_by_city_counts": games_by_city_counts,
+        "games_by_month_counts": games_by_month_counts,
+        "phone_models_counts": phone_models_counts,
+        "visits_by_hour_counts": visits_by_hour_counts,
+        "games_of_newest_day": games_of_newest_day,
         "batch_reports": batch_reports,
         "batch_report_rows": batch_report_rows,
     }

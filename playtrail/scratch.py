@@ -30,6 +30,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """The files and folders directly below a folder, wherever it is; none if it isn't there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in system.listStatus(folder)] if system.exists(folder) else []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created until Spark writes there."""
     return f"{shared_folder(spark)}/playtrail/{label}-{uuid.uuid4().hex}"

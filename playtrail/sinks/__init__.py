@@ -1,4 +1,5 @@
 from playtrail.sinks.browse_store import clean_log, write_browse_log
+from playtrail.sinks.growing_log import add_new_files, read_counts, read_growing_log, read_ledger
 from playtrail.sinks.keyed_table import merge_keyed_table, write_cells, write_keyed_table
 from playtrail.sinks.stat_tables import (
     STAT_TABLES,
@@ -13,8 +14,12 @@ from playtrail.sinks.stat_tables import (
 __all__ = [
     "STAT_TABLES",
     "StatTable",
+    "add_new_files",
     "clean_log",
     "merge_keyed_table",
+    "read_counts",
+    "read_growing_log",
+    "read_ledger",
     "read_stat",
     "report_rows",
     "stat_rows",

@@ -9,7 +9,7 @@ from playtrail.schema import PARSED_LOG
 from playtrail.sources.browse_log import parse_lines
 
 
-def clean_log(spark: SparkSession, source: str, target: str, rebalance: bool = False) -> None:
+def clean_log(spark: SparkSession, source: str | list[str], target: str, rebalance: bool = False) -> None:
     """Parse a raw text log into a Parquet table in `status`/`year`/`month` folders, replacing it.
 
     The text is read once: clean rows and rejected lines go to folders of the same table. Log files

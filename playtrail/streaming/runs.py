@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrail.functions import GRAINS, bucket
+from playtrail.scratch import names_below, remove_folder
 
 PANE_SECONDS = 5
 # Batches between two foldings. Readers add up so many folders of changes at most.
@@ -77,28 +78,17 @@ def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """The files and folders directly below a folder, none if it isn't there."""
-    system, folder = _folder(spark, path)
-    return [entry.getPath().getName() for entry in system.listStatus(folder)] if system.exists(folder) else []
-
-
 def _newest(spark: SparkSession, path: str) -> int:
-    return max((int(name) for name in _names(spark, path) if name.isdigit()), default=-1)
+    return max((int(name) for name in names_below(spark, path) if name.isdigit()), default=-1)
 
 
 def _set_mark(spark: SparkSession, path: str, number: int) -> None:
     """Creates the new mark, then takes away all but the one before it. A file that exists is whole: it is empty."""
-    older = sorted(int(name) for name in _names(spark, path) if name.isdigit() and int(name) < number)
+    older = sorted(int(name) for name in names_below(spark, path) if name.isdigit() and int(name) < number)
     system, mark = _folder(spark, f"{path}/{number}")
     system.create(mark, True).close()
     for stale in older[:-1]:
-        _delete(spark, f"{path}/{stale}")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    system, folder = _folder(spark, path)
-    system.delete(folder, True)
+        remove_folder(spark, f"{path}/{stale}")
 
 
 def newest_batch(spark: SparkSession, root: str) -> int:
@@ -153,12 +143,12 @@ def fold(spark: SparkSession, root: str) -> None:
     totals.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "upto").parquet(f"{root}/base")
     _set_mark(spark, f"{root}/folded", upto)
     for row in days.toLocalIterator():
-        versions = sorted(int(name.removeprefix("upto=")) for name in _names(spark, f"{root}/base/day={row.day}") if name.startswith("upto="))
+        versions = sorted(int(name.removeprefix("upto=")) for name in names_below(spark, f"{root}/base/day={row.day}") if name.startswith("upto="))
         for stale in [v for v in versions if v <= before][:-1]:
-            _delete(spark, f"{root}/base/day={row.day}/upto={stale}")
-    for name in _names(spark, f"{root}/changes"):
+            remove_folder(spark, f"{root}/base/day={row.day}/upto={stale}")
+    for name in names_below(spark, f"{root}/changes"):
         if name.startswith("batch=") and int(name.removeprefix("batch=")) <= before:
-            _delete(spark, f"{root}/changes/{name}")
+            remove_folder(spark, f"{root}/changes/{name}")
 
 
 # Reading
@@ -166,7 +156,7 @@ def fold(spark: SparkSession, root: str) -> None:
 
 def _changes(spark: SparkSession, root: str, after: int, upto: int) -> DataFrame:
     """The changes of the batches behind `after`, up to `upto`."""
-    if not any(name.startswith("batch=") for name in _names(spark, f"{root}/changes")):
+    if not any(name.startswith("batch=") for name in names_below(spark, f"{root}/changes")):
         return spark.createDataFrame([], _CHANGES)
     read = spark.read.schema(f"{_CHANGES}, batch bigint").parquet(f"{root}/changes")
     return read.where((F.col("batch") > after) & (F.col("batch") <= upto)).drop("batch")
@@ -174,7 +164,7 @@ def _changes(spark: SparkSession, root: str, after: int, upto: int) -> DataFrame
 
 def _base(spark: SparkSession, root: str, upto: int) -> DataFrame | None:
     """The folded totals as of `upto`, None if nothing was folded."""
-    if upto < 0 or not any(name.startswith("day=") for name in _names(spark, f"{root}/base")):
+    if upto < 0 or not any(name.startswith("day=") for name in names_below(spark, f"{root}/base")):
         return None
     columns = [part for part in _CHANGES.split(", ") if not part.startswith("day")]
     read = spark.read.schema(", ".join([*columns, "day string", "upto bigint"])).parquet(f"{root}/base")
