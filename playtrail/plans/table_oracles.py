@@ -330,6 +330,7 @@ def table_oracles() -> dict[str, str]:
         "downloads_sliding": _sliding(DOWNLOADS, "d", DOWNLOAD_COUNT),
         "payments_sliding": _sliding(PAYMENTS, "p", PAYMENT_SUMS),
         "downloads_not_blocked": DOWNLOADS_NOT_BLOCKED,
+        "downloads_not_listed": DOWNLOADS_NOT_BLOCKED,
         "payments_not_blocked": PAYMENTS_NOT_BLOCKED,
         "downloads_by_day_not_blocked": _totals([DOWNLOADS, BLOCKED], "d", DOWNLOAD_COUNT, "day", NOT_BLOCKED),
         "payments_by_day_not_blocked": _totals([PAYMENTS, BLOCKED], "p", PAYMENT_SUMS, "day", NOT_BLOCKED),

@@ -1,4 +1,4 @@
-from playtrail.streaming.blocklist import exclude_users, flag_blocked
+from playtrail.streaming.blocklist import exclude_listed, exclude_users, flag_blocked, measure_blocklist, with_possible_members
 from playtrail.streaming.events import parse_downloads, parse_messages, parse_payments, rejected_messages
 from playtrail.streaming.runs import newest_batch, read_totals, read_windows
 from playtrail.streaming.tables import (
@@ -21,12 +21,14 @@ from playtrail.streaming.totals import (
 __all__ = [
     "add_sums",
     "append_rows",
+    "exclude_listed",
     "exclude_users",
     "flag_blocked",
     "keep_daily",
     "keep_snapshot",
     "keep_sums",
     "keep_totals",
+    "measure_blocklist",
     "newest_batch",
     "parse_downloads",
     "parse_messages",
@@ -40,4 +42,5 @@ __all__ = [
     "running_payments",
     "sliding_downloads",
     "sliding_payments",
+    "with_possible_members",
 ]

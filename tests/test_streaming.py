@@ -12,9 +12,11 @@ from playtrail.sources import kafka_options, read_topic_files
 from playtrail.streaming import (
     add_sums,
     append_rows,
+    exclude_listed,
     exclude_users,
     keep_daily,
     keep_snapshot,
+    measure_blocklist,
     parse_downloads,
     parse_payments,
     read_daily,
@@ -24,6 +26,7 @@ from playtrail.streaming import (
     running_payments,
     sliding_downloads,
     sliding_payments,
+    with_possible_members,
 )
 from playtrail.streaming.tables import replace_days
 from tests.conftest import plan_of, rows_of
@@ -252,6 +255,24 @@ def test_blocked_users_are_left_out(spark, salt):
     assert exclude_users(events, blocked.limit(0), salt).count() == 5
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 12, 1 << 25])
+def test_a_long_blocklist_shuffles_few_events(spark, max_bytes):
+    """The filter lets every listed user through, and with room enough few others; results are exact either way."""
+    blocked = spark.range(0, 20_000, 2).select(F.col("id").alias("user_id")).hint("merge")
+    blocked = blocked.unionByName(spark.createDataFrame([(None,), (2**62,), (-5,)], "user_id bigint"))
+    users = spark.range(100_000, 160_000).unionByName(spark.range(0, 400)).unionByName(spark.createDataFrame([(2**62,), (-5,), (-7,)], "id bigint"))
+    events = users.select(F.col("id").alias("user_id"), F.lit("x").alias("time"))
+    listed = measure_blocklist(blocked, max_bytes)
+    told = with_possible_members(events, listed)
+    possible = told.where("possible").count()
+    assert told.count() == events.count() and (possible < 8000 if max_bytes > 1 << 12 else possible > 8000)
+    kept = exclude_listed(events, listed)
+    assert kept.columns == events.columns
+    assert sorted(r.user_id for r in kept.collect()) == sorted(r.user_id for r in exclude_users(events, blocked).collect())
+    certain = told.where(~F.col("possible"))
+    assert "hashpartitioning(user_id" not in plan_of(certain) and "BroadcastHashJoin" in plan_of(certain)
+
+
 def test_new_blocked_users_count_from_the_next_batch(spark, topic, tmp_path):
     blocked_path = str(tmp_path / "blocked")
     spark.createDataFrame([(1,)], "user_id bigint").write.parquet(blocked_path)
