@@ -307,6 +307,9 @@ def table_oracles() -> dict[str, str]:
         "keyed_scan": _with(BROWSE, DAILY) + f"""
             SELECT CAST({MONTH} AS INTEGER) AS month, min("gameName") AS "gameName", "gameId", count(*) AS times
             FROM newest WHERE CAST(substr(date, 5, 2) AS INTEGER) = {MONTH} GROUP BY "gameId" """,
+        "keyed_range": _with(BROWSE, DAILY) + """
+            SELECT daily.* FROM daily, (SELECT CAST(min(date) AS BIGINT) AS first FROM daily)
+            WHERE CAST(date AS BIGINT) BETWEEN first + 1 AND first + 7""",
         "cells_unpivot": CELLS,
         "cells_pivot": _with(BROWSE, DAILY, KEYED) + """
             SELECT row_key, ip, date, "androidVersion", "phoneModel", "gameName", "gameId" FROM keyed""",

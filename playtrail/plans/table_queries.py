@@ -47,12 +47,15 @@ from playtrail.sinks import (
     STAT_TABLES,
     add_new_files,
     clean_log,
+    key_range_files,
     merge_keyed_table,
     read_counts,
     read_growing_log,
+    read_key_range,
     read_stat,
     write_browse_log,
     write_cells,
+    write_key_ranges,
     write_keyed_table,
     write_stat,
 )
@@ -248,6 +251,19 @@ def keyed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_games_by_month(log, MONTH)
 
 
+def keyed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visits of one week out of a table that is kept by ranges of its key."""
+    first = daily_view(spark, sf_dir).agg(F.min("date")).first()[0]
+    # A full day behind the first; row keys begin with the date.
+    low, high = (f"{int(first) + k}" for k in (1, 8))
+    path = new_folder(spark, "key-ranges")
+    keyed = with_row_key(daily_view(spark, sf_dir)).select("row_key", "event_id", *BROWSE_COLUMNS)
+    write_key_ranges(keyed, path, files=16)
+    if len(key_range_files(spark, path, low, high)) > 12:
+        raise RuntimeError("a range of a week opens most of the table")
+    return read_key_range(spark, path, keyed.schema, low, high).drop("row_key")
+
+
 def _stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "cells")
     newest = latest_per_key(daily_view(spark, sf_dir), BROWSE_KEY, ["event_id"])
@@ -482,6 +498,7 @@ def table_queries() -> dict[str, Query]:
         "row_key": row_keys,
         "keyed_upsert": keyed_upsert,
         "keyed_scan": keyed_scan,
+        "keyed_range": keyed_range,
         "cells_unpivot": _stored_cells,
         "cells_pivot": cells_pivot,
         "stat_sink_month": partial(_stat_sink, "by_month"),
