@@ -17,6 +17,7 @@ SIMILARITY_PERCENT = 80
 # Counters of how often columns occur; each is one byte when broadcast.
 MAX_RARITY_CELLS = 1 << 25
 _SEGMENT = 1 << 14
+_GREATEST = (1 << 63) - 1
 FILTER_BITS_PER_COLUMN = 8
 # Blocks of the product: classes on a side, rows that meet in a task, n-grams of whole sets on a side.
 CLASSES_PER_CHUNK = 512
@@ -263,7 +264,7 @@ def similar_classes(texts: DataFrame, n: int, percent: int, n_entries: int, n_co
     first = tested.where("linked").select("a", "b")
     joined = components(first)
     open_members = _open(members, joined)
-    near = stored(_products(_with_hubs(open_members), percent), "ngram-near")
+    near = stored(_untested(_products(_with_hubs(open_members), percent), tested), "ngram-near")
     discard(members, open_members)
     sets = _sets_of(near.select("key"), texts, n)
     links = stored(first.unionByName(_forests(near, sets, percent)), "ngram-links")
@@ -308,7 +309,8 @@ def _each_block(table: pa.Table, order: list[str]):
 
 
 def _products(members: DataFrame, percent: int) -> DataFrame:
-    """`hub, key, component, size` of the classes whose common columns with one of another component can reach the bound.
+    """`hub, key, component, size` of the classes whose common columns with one of another component can reach the bound,
+    and the `least` and `most` of the keys of those others.
 
     The matrix is cut into blocks: columns by their hub, classes of a hub into chunks, so that a block is a product of
     two chunks and a group of any size spreads over tasks. A pair's columns may lie with several
@@ -319,14 +321,23 @@ def _products(members: DataFrame, percent: int) -> DataFrame:
     blocks = _in_blocks(rows, chunks, ROWS_PER_BLOCK, F.lit(1))
 
     def product(table):
-        found = [pa.table({c: pa.array([], pa.int64()) for c in ("hub", "key", "component", "size")})]
+        found = [pa.table({c: pa.array([], pa.int64()) for c in ("hub", "key", "component", "size", "least", "most")})]
         for block, _ in _each_block(table, ["column"]):
             near = _near_classes(block, percent)
             found.append(pa.table({"hub": np.full(len(near["key"]), block["hub"][0]), **near}))
         return pa.concat_tables(found)
 
-    schema = "hub bigint, key bigint, component bigint, size bigint"
-    return blocks.groupBy("block").applyInArrow(product, schema).distinct()
+    schema = "hub bigint, key bigint, component bigint, size bigint, least bigint, most bigint"
+    near = blocks.groupBy("block").applyInArrow(product, schema)
+    return near.groupBy("hub", "key", "component", "size").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+def _untested(near: DataFrame, tested: DataFrame) -> DataFrame:
+    """Without the classes whose only other one of a hub has been tested against them: that link is in, or isn't one."""
+    told = near.withColumns({"a": F.least("key", "least"), "b": F.greatest("key", "least")})
+    done = tested.select("a", "b", F.lit(True).alias("done"))
+    left = told.join(done, ["a", "b"], "left").where((F.col("least") != F.col("most")) | F.col("done").isNull())
+    return left.select("hub", "key", "component", "size")
 
 
 def _near_classes(rows: dict, percent: int) -> dict:
@@ -353,8 +364,12 @@ def _near_classes(rows: dict, percent: int) -> dict:
         (together * np.minimum(own["hubs"][i], own["hubs"][j]) >= enough) & (own["component"][i] != own["component"][j])
         & (100 * one >= percent * other) & (100 * other >= percent * one)
     )
-    near = np.union1d(i[keep], j[keep])
-    return {"key": keys[near], "component": own["component"][near], "size": own["size"][near]}
+    one, other = np.r_[i[keep], j[keep]], np.r_[j[keep], i[keep]]
+    least, most = np.full(len(keys), _GREATEST), np.full(len(keys), -_GREATEST)
+    np.minimum.at(least, one, keys[other])
+    np.maximum.at(most, one, keys[other])
+    near = np.unique(one)
+    return {"key": keys[near], "component": own["component"][near], "size": own["size"][near], "least": least[near], "most": most[near]}
 
 
 def _forests(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
