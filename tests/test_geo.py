@@ -110,7 +110,7 @@ def test_nested_ranges_take_the_most_specific(spark, span):
     table = [(0, span - 1, "all"), (0, span - 1, "again")]
     for k in range(150):
         lo = rng.randrange(span)
-        table.append((lo, min(span - 1, lo + rng.randrange(1 + span >> rng.randrange(1, 20))), rng.choice([f"c{k}", "tie", None])))
+        table.append((lo, min(span - 1, lo + rng.randrange(1 + (span >> rng.randrange(1, 20)))), rng.choice([f"c{k}", "tie", None])))
     table += [(lo, hi, "copy") for lo, hi, _ in table[5:20]]
     ranges = spark.createDataFrame(table, RANGES)
     pieces = sorted((r.ip_lo, r.ip_hi, r.city) for r in most_specific_ranges(ranges).collect())
