@@ -22,6 +22,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+# What is known of the beginning of a piece.
+_UNSEEN, _ONLY_A_BEGINNING, _MADE = 0, 1, 2
 
 
 def _fields(data: bytes):
@@ -124,7 +126,7 @@ class PieceTransducer:
         self.unknown = model.kinds.index(UNKNOWN) if UNKNOWN in model.kinds else 0
         self.bytes = {int(p[3:5], 16): n for n, (p, k) in enumerate(zip(model.pieces, model.kinds, strict=True)) if k == BYTE}
         self.longest = max(map(len, ids), default=1)
-        self.beginnings = {piece[:k] for piece in ids for k in range(2, len(piece) + 1)}
+        self.standing = dict.fromkeys((piece[:k] for piece in ids for k in range(2, len(piece) + 1)), _UNSEEN)
         self.unknown_weight = UNKNOWN_PENALTY - min((model.scores[n] for n in ids.values()), default=0.0)
         # Places that no piece crosses cut a text into parts of their own: before a mark that follows
         # something else, and around characters that only stand alone.
@@ -135,7 +137,6 @@ class PieceTransducer:
         # Two characters in a row that no piece has in a row: a path must part there.
         self.pairs = {piece[k : k + 2] for piece in ids for k in range(len(piece) - 1)}
         self.fits = _Remembered(lambda pair: self.merged(pair[0] + pair[1]) == [*pair])
-        self.reached: dict[str, bool] = {}
         # Ids are kept as the bytes of 32-bit numbers, which are joined without a step for each of them.
         self.segments = _Remembered(lambda segment: self._spelled(self.shortest_path(segment)))
         self.led = _Remembered(lambda word: self._part(MARK + word))
@@ -163,12 +164,6 @@ class PieceTransducer:
             parts[place : place + 2] = [parts[place] + parts[place + 1]]
         return parts
 
-    def _reached(self, piece: str) -> bool:
-        found = self.reached.get(piece)
-        if found is None:
-            found = self.reached[piece] = piece in self.ids and self.merged(piece) == [piece]
-        return found
-
     def shortest_path(self, text: str) -> list[str]:
         """The pieces on the path of least weight through the composition with the text."""
         return self._merge_path(text) if self.model.kind == BPE else self._score_path(text)
@@ -176,37 +171,45 @@ class PieceTransducer:
     def _merge_path(self, text: str) -> list[str]:
         """Relaxes the arcs of reached places, the furthest end first; all finite sums are 0, so any order is best first.
 
-        An arc is weighed when its turn comes, and never if its end is reached by then.
+        An arc is weighed when its turn comes, and never if its end is reached by then. The arcs of a place are those of
+        its character and of the pieces that merging makes.
         """
-        fits, size = self.fits, len(text)
+        fits, standing, size = self.fits, self.standing, len(text)
         last: list[str | None] = [None] * (size + 1)
-        last[0] = ""
-        arcs = [(0, end) for end in self._ends(text, 0)]
-        while last[size] is None:
-            at, end = arcs.pop()
-            if last[end] is None:
-                before, piece = last[at], text[at:end]
-                if not before or fits[before, piece]:
-                    last[end] = piece
-                    if end < size:
-                        arcs += [(end, further) for further in self._ends(text, end)]
+        starts: list[int] = []
+        ends: list[int] = []
+        place = 0
+        while place < size:
+            starts.append(place)
+            ends.append(place + 1)
+            for end in range(place + 2, size + 1):
+                kind = standing.get(text[place:end])
+                if kind is None:
+                    break
+                if kind == _UNSEEN:
+                    kind = self._stands(text[place:end])
+                if kind == _MADE:
+                    starts.append(place)
+                    ends.append(end)
+            while True:
+                at, end = starts.pop(), ends.pop()
+                if last[end] is None:
+                    piece = text[at:end]
+                    if not at or fits[last[at], piece]:
+                        last[end] = piece
+                        place = end
+                        break
         path, at = [], size
         while at:
             path.append(last[at])
             at -= len(last[at])
         return path[::-1]
 
-    def _ends(self, text: str, at: int) -> list[int]:
-        """Where the arcs from a place end, the furthest last: those of its character and of pieces that merging makes."""
-        reached, beginnings = self.reached, self.beginnings
-        ends = [at + 1]
-        for end in range(at + 2, len(text) + 1):
-            piece = text[at:end]
-            if piece not in beginnings:
-                break
-            if reached[piece] if piece in reached else self._reached(piece):
-                ends.append(end)
-        return ends
+    def _stands(self, beginning: str) -> int:
+        """Whether the beginning of a piece is one that merging makes; looked into when it is first met."""
+        made = beginning in self.ids and self.merged(beginning) == [beginning]
+        found = self.standing[beginning] = _MADE if made else _ONLY_A_BEGINNING
+        return found
 
     def _score_path(self, text: str) -> list[str]:
         ids, scores, size = self.ids, self.model.scores, len(text)
