@@ -110,7 +110,7 @@ class Words:
         return self._kept
 
 
-def _plain(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def plain(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, null as empty, and where each text begins and ends."""
     if texts.null_count:
         texts = pa.array([text.as_py() or "" for text in texts], pa.string())
@@ -124,7 +124,7 @@ def steps(texts: pa.Array, gap: np.ndarray = SPACE_BYTES, lower=None, step_bytes
     """The words of a batch of texts, step by step; `gap` tells which bytes part words, `lower` maps bytes first."""
     if not len(texts):
         return
-    everything, offsets = _plain(texts)
+    everything, offsets = plain(texts)
     first = 0
     while first < len(texts):
         last = int(np.searchsorted(offsets, offsets[first] + step_bytes, "right")) - 1

@@ -6,13 +6,14 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from playtrail.llm.components import components
 from playtrail.llm.exact_dedup import drop_exact_copies, exact_groups
-from playtrail.llm.line_dedup import repeated_lines
+from playtrail.llm.line_dedup import _split, repeated_lines
 from playtrail.llm.mixing import mix, mixed
 from playtrail.llm.ngram_join import drop_near_copies, near_groups
 from playtrail.llm.pieces import encode
@@ -270,6 +271,28 @@ def test_short_lines(spark, sf_dir, hot_posts):
         same(found.collect(), lines_expected(rows, min_words=1))
 
 
+def test_lines_are_not_joined_by_token(spark, monkeypatch):
+    """Lines of one token meet in packed blocks: a join by token makes a row for each two of them."""
+    kind = type(spark.range(0))
+    on, join = [], kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, by=None, how=None: on.append(by) or join(self, other, by, how))
+    rows = [(i, " ".join(f"w{k}" for k in range(20) if k != i % 20) + f" a{i} b{i}") for i in range(60)]
+    found = repeated_lines(table(spark, rows), hot_posts=7).select("doc_id", "n_lines", "n_removed", "kept_text")
+    same(found.collect(), lines_expected(rows))
+    assert on and all(isinstance(by, str | list) and "token" not in by for by in on)
+
+
+def test_two_rows_of_a_token_meet_in_one_part():
+    tokens, spots = np.repeat(np.arange(4, dtype=np.int32), [1, 50, 3, 9]), np.arange(63)
+    rows, parts = _split(tokens, spots, np.array([1, 6, 1, 2], np.int32))
+    met = defaultdict(set)
+    for row, part in zip(rows.tolist(), parts.tolist(), strict=True):
+        met[int(tokens[row]), part].add(row)
+    together = {pair for own in met.values() for pair in combinations(sorted(own), 2)}
+    assert together == {(a, b) for a, b in combinations(range(63), 2) if tokens[a] == tokens[b]}
+    assert {row for own in met.values() for row in own} == set(range(63))
+
+
 def test_the_query_of_lines_has_no_floor(spark, tmp_path):
     rows = [(1, "home\nRead more\nx"), (2, "Read more\nx\ny z"), (3, "z y\n\n\nw")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
