@@ -24,6 +24,8 @@ WORDS_PER_BLOCK = 1 << 20
 POSTS_PER_BLOCK = 100_000
 HOT_POSTS = 20_000
 POSTS_PER_ROW_GROUP = 1 << 18
+# Earlier lines allowed by the bounds among which the first one to verify is chosen.
+TRIES = 16
 _SEGMENT = 1 << 14
 _LAST = (1 << 63) - 1
 _VALUES = byte_values(7)
@@ -281,8 +283,8 @@ class _Map:
 
 
 def _map_of(hashes: DataFrame, n: int) -> _Map:
-    """The hashes of a one-column table with about `n` rows."""
-    bits = filter_bits(n, 16)
+    """The hashes of a one-column table with about `n` rows, far fewer than are looked up."""
+    bits = filter_bits(max(n, 1 << 18), 64)
     return _Map(bits, bit_map(hashes.select(cell(F.col(hashes.columns[0]).cast("bigint"), bits).alias("cell")).distinct(), bits))
 
 
@@ -320,16 +322,17 @@ def _posts(n_blocks: int, chunks, open_spots: _Map | None = None, open_tokens: _
     return run
 
 
-def _matches(one: dict, other: dict, percent: int) -> np.ndarray:
-    """Length, position and parity bounds for pairs of lines that share a token."""
+def _matches(one: dict, other: dict, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length, position and parity bounds for pairs of lines that share a token.
+
+    Also by how many tokens two lines may differ, and how many of these the parities leave.
+    """
     m, n, i, j = one["size"], other["size"], one["at"], other["at"]
     both = m + n
     reach = np.minimum(i, j) + np.minimum(m - i, n - j)
-    differ = sum(np.bitwise_count(one[c] ^ other[c]).astype(np.int64) for c in ("parity", "parity2"))
-    return (
-        (100 * m >= percent * n) & (100 * n >= percent * m) & (reach >= needed_of_both(both, percent))
-        & (differ <= both * (100 - percent) // (100 + percent))
-    )
+    bound = both * (100 - percent) // (100 + percent)
+    left = bound - sum(np.bitwise_count(one[c] ^ other[c]).astype(np.int64) for c in ("parity", "parity2"))
+    return (100 * m >= percent * n) & (100 * n >= percent * m) & (reach >= needed_of_both(both, percent)) & (left >= 0), bound, left
 
 
 def needed_of_both(both, percent: int):
@@ -337,9 +340,10 @@ def needed_of_both(both, percent: int):
 
 
 def _earlier(percent: int, all_of_them: bool):
-    """Pairs of each open line of a block and the nearest line before it, for each of its tokens, that the bounds allow.
+    """Pairs of each open line of a block and a line before it that the bounds allow, with what the parities leave.
 
-    A line that has one looks no further, unless `all_of_them` are asked for.
+    A line looks back until one leaves it a quarter of its bound, or `TRIES` are allowed, and takes the one that leaves
+    most, unless `all_of_them` are asked for.
     """
 
     def run(table):
@@ -353,20 +357,23 @@ def _earlier(percent: int, all_of_them: bool):
         bounds = {c: columns[c].astype(np.int64) for c in ("size", "at")}
         bounds |= {c: columns[c].view(np.uint64) for c in ("parity", "parity2")}
         later = np.flatnonzero((rank >= 1) & columns["open"])
-        step, pairs = 1, [np.zeros((2, 0), np.int64)]
+        tries = np.zeros(len(token), np.int64)
+        step, pairs = 1, [np.zeros((3, 0), np.int64)]
         while len(later):
-            found = _matches({c: v[later] for c, v in bounds.items()}, {c: v[later - step] for c, v in bounds.items()}, percent)
+            found, bound, left = _matches({c: v[later] for c, v in bounds.items()}, {c: v[later - step] for c, v in bounds.items()}, percent)
             found &= spots[later] != spots[later - step]
-            pairs.append(np.stack([spots[later[found]], spots[later[found] - step]]))
+            pairs.append(np.stack([spots[later[found]], spots[later[found] - step], left[found]]))
+            if not all_of_them:
+                tries[later[found]] += 1
+                later = later[~found | (4 * left < np.maximum(bound, 1)) & (tries[later] < TRIES)]
             step += 1
-            later = later if all_of_them else later[~found]
             later = later[rank[later] >= step]
-        a, b = np.concatenate(pairs, axis=1)
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
+        a, b, left = np.concatenate(pairs, axis=1)
+        order = np.lexsort((b, a) if all_of_them else (b, -left, a))
+        a, b, left = a[order], b[order], left[order]
         fresh = np.ones(len(a), bool)
         fresh[1:] = (a[1:] != a[:-1]) | all_of_them & (b[1:] != b[:-1])
-        return pa.table({"a": a[fresh], "b": b[fresh]})
+        return pa.table({"a": a[fresh], "b": b[fresh], "left": left[fresh]})
 
     return run
 
@@ -418,8 +425,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, min_words: int, percent: int) ->
 def _repeated_spots(texts: DataFrame, classes: DataFrame, min_words: int, percent: int, hot_posts: int) -> DataFrame:
     """Classes of equal token sets that are similar to a class whose first line is earlier.
 
-    The classes of a token meet in a block of tokens, where each is held against the nearest earlier one that
-    the bounds allow; one of those that its tokens give is verified on whole sets. Only classes without a match there go
+    The classes of a token meet in a block of tokens, where each is held against the nearest earlier ones;
+    the likeliest of those that the bounds allow is verified on whole sets. Only classes without a match there go
     on, to all earlier ones they share a token with. Tokens of more than `hot_posts` classes are dealt to several
     blocks, so that each two classes of a token meet in one.
     """
@@ -431,9 +438,9 @@ def _repeated_spots(texts: DataFrame, classes: DataFrame, min_words: int, percen
     def candidates(*open_maps):
         n_blocks = max(int(counts.sum()) // POSTS_PER_BLOCK, 4 * spark.sparkContext.defaultParallelism)
         posts = classes.mapInArrow(_posts(n_blocks, chunks, *open_maps), _packed_row(POST))
-        return posts.groupBy("block").applyInArrow(_earlier(percent, bool(open_maps)), "a bigint, b bigint")
+        return posts.groupBy("block").applyInArrow(_earlier(percent, bool(open_maps)), "a bigint, b bigint, left bigint")
 
-    pairs = stored(candidates().groupBy("a").agg(F.max("b").alias("b")), "lines-candidates")
+    pairs = stored(candidates().groupBy("a").agg(F.max_by("b", "left").alias("b")), "lines-candidates")
     first = _linked(pairs, texts, min_words, percent)
     discard(pairs)
 
@@ -448,7 +455,7 @@ def _repeated_spots(texts: DataFrame, classes: DataFrame, min_words: int, percen
     tokens = stored(classes.select("spot", "prefix").mapInArrow(open_prefixes, "token int").distinct(), "lines-tokens")
     open_tokens = _map_of(tokens, tokens.count())
     discard(tokens)
-    rest = stored(candidates(open_spots, open_tokens).distinct(), "lines-second")
+    rest = stored(candidates(open_spots, open_tokens).select("a", "b").distinct(), "lines-second")
     second = _linked(rest, texts, min_words, percent)
     discard(rest)
     linked = first.where("linked").unionByName(second.where("linked"))
